@@ -2,12 +2,11 @@
 
 from rillstone.functions.conditions import CONDITIONS, classify_condition
 from rillstone.functions.measures import safe_ratio, whole_mean
-from rillstone.functions.text import has_json_text, iso_utc, row_text
+from rillstone.functions.text import iso_utc, row_text
 
 __all__ = [
     "CONDITIONS",
     "classify_condition",
-    "has_json_text",
     "iso_utc",
     "row_text",
     "safe_ratio",

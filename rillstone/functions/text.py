@@ -6,17 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, TimestampNTZType, TimestampType
 
-_JSON_BLANKS = " \t\r\n"
-
-
-def has_json_text(column: str) -> Column:
-    """True when the text holds anything a JSON reader would look at.
-
-    Exactly the texts for which ``from_json`` gives a non-null struct, but decided
-    without parsing.
-    """
-    return F.length(F.btrim(F.col(column), F.lit(_JSON_BLANKS))) > 0
-
 
 def iso_utc(column: Column | str) -> Column:
     """``yyyy-MM-ddTHH:mm:ssZ``, whole seconds. The session zone must be UTC."""

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
-from rillstone.functions import has_json_text, safe_ratio
+from rillstone.functions import safe_ratio
 from rillstone.schemas import BIKE_EVENT, WEATHER_EVENT
 
 # Holds the raw text of a record the reader could not fit to the schema.
@@ -17,25 +17,25 @@ def _strict(schema: StructType) -> StructType:
     return StructType([*schema.fields]).add(_REFUSED, StringType())
 
 
-def _parsed_columns(schema: StructType) -> Column:
-    """All payload fields from one parse.
+def _parsed(schema: StructType) -> Column:
+    """The payload as one struct column ``_event``, from one parse of the text.
 
-    A filter on a ``from_json`` field is pushed below the projection and the text is
-    parsed a second time there. Filters stay above a generator, so the struct is spread
-    by ``inline`` over a one-element array.
+    A filter on a plain ``from_json`` column is pushed below the projection that makes it,
+    and parses every text a second time there. Filters on generated columns stay above
+    the generator, so the struct passes through a one-element ``explode``.
     """
     options = {"columnNameOfCorruptRecord": _REFUSED} if _REFUSED in schema.names else {}
-    return F.inline(F.array(F.from_json("value", schema, options)))
+    return F.explode(F.array(F.from_json("value", schema, options))).alias("_event")
 
 
 def _well_formed(required: tuple[str, ...]) -> Column:
     """The text fitted the schema and names its station (``{}`` fits, but names none).
 
-    Never null, so its negation is the exact complement.
+    Never null, so its negation is the exact complement; false where there was no text.
     """
-    fits = F.col(_REFUSED).isNull()
+    fits = F.col(f"_event.{_REFUSED}").isNull()
     for name in required:
-        fits = fits & F.col(name).isNotNull()
+        fits = fits & F.col(f"_event.{name}").isNotNull()
     return fits
 
 
@@ -56,17 +56,13 @@ def parse_events(
     ``quarantined`` gives the rest of ``"drop"``. Unreadable times become null, they do
     not fail the query.
     """
-    texts = bronze.where(has_json_text("value")).select("value")
     if on_malformed == "keep":
-        events = texts.select(_parsed_columns(schema))
+        parsed = bronze.select(_parsed(schema)).where(F.col("_event").isNotNull())
     elif on_malformed == "drop":
-        events = (
-            texts.select(_parsed_columns(_strict(schema)))
-            .where(_well_formed(required))
-            .drop(_REFUSED)
-        )
+        parsed = bronze.select(_parsed(_strict(schema))).where(_well_formed(required))
     else:
         raise ValueError(f"on_malformed must be 'drop' or 'keep', not {on_malformed!r}")
+    events = parsed.select(*[F.col(f"_event.{name}") for name in schema.names])
     return events.withColumn("event_time", F.try_to_timestamp("event_time")).withColumn(
         "dt", F.to_date("event_time")
     )
@@ -80,7 +76,7 @@ def quarantined(
     Includes messages without any text, so silver and quarantine together are bronze.
     """
     return (
-        bronze.select("*", _parsed_columns(_strict(schema)))
+        bronze.select("*", _parsed(_strict(schema)))
         .where(~_well_formed(required))
         .select(*bronze.columns)
     )

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -14,22 +16,58 @@ def base_options(shuffle_partitions: int | None = None) -> dict[str, str]:
     """Options every job of this library relies on.
 
     Windows are aligned to UTC and ``to_date`` follows the session zone, so the zone is
-    pinned. Adaptive execution is on for batch and for stateless streaming queries (it cuts
-    skewed shuffle partitions before a table write); stateful queries never use it, their
-    partition count is ``spark.sql.shuffle.partitions`` and is fixed in the checkpoint.
+    pinned. The advisory size is what adaptive execution cuts a skewed shuffle partition
+    into before a table write, and so sets the size of the files of a large table.
     """
     options = {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.adaptive.streaming.stateless.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     }
     if shuffle_partitions is not None:
         options["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     return options
 
 
+def streaming_options(spark: SparkSession) -> dict[str, str]:
+    """Options of the streaming queries, on top of those of the session.
+
+    Adaptive execution serves stateless queries too: it splits a hot station before the
+    write. It must not merge small shuffle partitions there: rows are clustered by table
+    partition, so merging saves no file and makes one task open them one after another.
+    Stateful queries never use it; their partition count is ``spark.sql.shuffle.partitions``
+    and is fixed in the checkpoint. File listing is spread over the cores there are,
+    not over a task per file.
+    """
+    return {
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.streaming.stateless.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.sources.parallelPartitionDiscovery.parallelism": str(
+            2 * spark.sparkContext.defaultParallelism
+        ),
+    }
+
+
+@contextmanager
+def settings(spark: SparkSession, options: dict[str, str]) -> Iterator[None]:
+    """Runtime options for the duration of a block. A streaming query keeps those it
+    was started under."""
+    before = {name: spark.conf.get(name, None) for name in options}
+    try:
+        for name, value in options.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
 def rocksdb_options() -> dict[str, str]:
     """Keep window state on executor disk and upload only changes at each commit."""
     return {

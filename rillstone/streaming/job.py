@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rillstone.layout import LakeLayout
 from rillstone.schemas import TableSpec
-from rillstone.session import base_options
+from rillstone.session import settings, streaming_options
 from rillstone.sources.envelope import EnvelopeFolder, KafkaTopic, read_envelope_stream
 from rillstone.sources.tables import ensure_table, stream_table
 from rillstone.streaming.flows import Flow, lake_flows
@@ -47,8 +47,6 @@ class LakeJob:
         max_files_per_trigger: int | None = None,
         max_bytes_per_trigger: str | None = None,
     ) -> None:
-        for name, value in base_options().items():
-            spark.conf.set(name, value)
         self.spark = spark
         self.layout = layout
         self.sources = dict(sources)
@@ -139,13 +137,14 @@ class LakeJob:
         return [flow for flow in self.flows if flow.target in wanted]
 
     def _start(self, flow: Flow, available_now: bool) -> StreamingQuery:
-        query = write_table_stream(
-            flow.transform(self._read(flow.source)),
-            self.layout,
-            flow.target,
-            every=flow.every,
-            available_now=available_now,
-        )
+        with settings(self.spark, streaming_options(self.spark)):
+            query = write_table_stream(
+                flow.transform(self._read(flow.source)),
+                self.layout,
+                flow.target,
+                every=flow.every,
+                available_now=available_now,
+            )
         self.queries[flow.target.view_name] = query
         return query
 
