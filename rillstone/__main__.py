@@ -24,9 +24,12 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--on-malformed", choices=["drop", "keep"], default="drop")
     parser.add_argument("--quarantine", action="store_true", help="store refused messages")
     parser.add_argument("--watermark", default="15 minutes")
-    parser.add_argument("--minute-every", default="30 seconds")
+    parser.add_argument("--every", help="trigger interval, e.g. '2 minutes'")
+    parser.add_argument("--minute-every", default="30 seconds", help="that of the minute table")
     parser.add_argument("--available-now", action="store_true", help="work off what is there")
-    parser.add_argument("--max-bytes-per-trigger")
+    parser.add_argument("--max-bytes-per-trigger", help="bound per batch, reading files")
+    parser.add_argument("--max-offsets-per-trigger", type=int, help="bound per batch, Kafka")
+    parser.add_argument("--min-partitions", type=int, help="least tasks per Kafka batch")
     parser.add_argument("--shuffle-partitions", type=int)
     parser.add_argument("--s3-endpoint", help="keys come from AWS_ACCESS_KEY_ID and _SECRET_")
     parser.add_argument("--master")
@@ -41,7 +44,13 @@ def source_for(chosen: argparse.Namespace, topic: str) -> KafkaTopic | EnvelopeF
     folder = getattr(chosen, f"{topic}_folder")
     if folder:
         return EnvelopeFolder(folder, max_bytes_per_trigger=chosen.max_bytes_per_trigger)
-    return KafkaTopic(chosen.brokers, getattr(chosen, f"{topic}_topic"), chosen.starting)
+    return KafkaTopic(
+        chosen.brokers,
+        getattr(chosen, f"{topic}_topic"),
+        chosen.starting,
+        max_offsets_per_trigger=chosen.max_offsets_per_trigger,
+        min_partitions=chosen.min_partitions,
+    )
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -66,7 +75,7 @@ def main(argv: list[str] | None = None) -> None:
         {topic: source_for(chosen, topic) for topic in ("bike", "weather")},
         lake_flows(
             chosen.on_malformed, chosen.quarantine, chosen.watermark,
-            minute_every=chosen.minute_every,
+            every=chosen.every, minute_every=chosen.minute_every,
         ),
         max_bytes_per_trigger=chosen.max_bytes_per_trigger,
     )

@@ -12,13 +12,18 @@ from rillstone.schemas import ENVELOPE
 
 @dataclass(frozen=True)
 class KafkaTopic:
-    """One topic. Needs the Spark Kafka connector on the class path."""
+    """One topic. Needs the Spark Kafka connector on the class path.
+
+    Messages are keyed by station, so a busy station fills one broker partition.
+    ``min_partitions`` makes Spark read large offset ranges with several tasks each.
+    """
 
     brokers: str
     topic: str
     starting: str = "latest"
     fail_on_data_loss: bool = False
     max_offsets_per_trigger: int | None = None
+    min_partitions: int | None = None
     options: dict[str, str] = field(default_factory=dict)
 
     def read_options(self) -> dict[str, str]:
@@ -30,6 +35,8 @@ class KafkaTopic:
         }
         if self.max_offsets_per_trigger is not None:
             chosen["maxOffsetsPerTrigger"] = str(self.max_offsets_per_trigger)
+        if self.min_partitions is not None:
+            chosen["minPartitions"] = str(self.min_partitions)
         return {**chosen, **self.options}
 
     def write_options(self) -> dict[str, str]:

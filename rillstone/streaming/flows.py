@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 
@@ -28,13 +28,16 @@ def lake_flows(
     quarantine: bool = False,
     watermark: str = WATERMARK,
     ingest_time: Column | None = None,
+    every: str | None = None,
     minute_every: str | None = "30 seconds",
 ) -> tuple[Flow, ...]:
     """The nine flows: topic to bronze, bronze to silver, silver to the five summaries.
 
     Each layer follows the stored layer below, so the source is read twice (once per
     topic) and each text is parsed once, however many summaries there are. With
-    ``quarantine`` two more flows store what strict parsing refuses.
+    ``quarantine`` two more flows store what strict parsing refuses. ``every`` is the
+    trigger interval of all flows but the minute table's; each micro-batch adds at least
+    one file per table partition it touches, so a longer interval means fewer, larger files.
     """
 
     def land(envelope: DataFrame) -> DataFrame:
@@ -67,4 +70,4 @@ def lake_flows(
                 lambda df: quarantined(df, S.WEATHER_EVENT),
             ),
         ]
-    return tuple(flows)
+    return tuple(flow if flow.every else replace(flow, every=every) for flow in flows)
