@@ -30,7 +30,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--max-bytes-per-trigger", help="bound per batch, reading files")
     parser.add_argument("--max-offsets-per-trigger", type=int, help="bound per batch, Kafka")
     parser.add_argument("--min-partitions", type=int, help="least tasks per Kafka batch")
-    parser.add_argument("--shuffle-partitions", type=int)
+    parser.add_argument("--shuffle-partitions", type=int, help="state partitions per summary")
     parser.add_argument("--s3-endpoint", help="keys come from AWS_ACCESS_KEY_ID and _SECRET_")
     parser.add_argument("--master")
     chosen = parser.parse_args(argv)

@@ -318,6 +318,16 @@ def sql_rain_and_usage(spark, sf_dir):
 # ---- streams ---------------------------------------------------------------------
 
 
+def _job(spark: SparkSession, layout: LakeLayout, sources: dict) -> LakeJob:
+    return LakeJob(
+        spark,
+        layout,
+        sources,
+        lake_flows(quarantine=True, ingest_time=_ingest_time()),
+        shuffle_partitions=spark.sparkContext.defaultParallelism,
+    )
+
+
 def _streamed(spark: SparkSession, sf_dir: str, spec: S.TableSpec, replay: bool = False):
     """Run the flows that lead to one table over all events, and read the table."""
     base = scratch_dir(spark, f"stream_{spec.name}")
@@ -333,7 +343,7 @@ def _streamed(spark: SparkSession, sf_dir: str, spec: S.TableSpec, replay: bool
             "bike": staging.bike_envelope(events),
             "weather": staging.weather_envelope(events),
         }
-    LakeJob(spark, layout, sources, lake_flows(ingest_time=_ingest_time())).run_available([spec])
+    _job(spark, layout, sources).run_available([spec])
     return _rounded(read_table(spark, layout, spec))
 
 
@@ -389,6 +399,5 @@ def stream_quarantine(spark, sf_dir):
     envelope = staging.with_broken_texts(
         staging.bike_envelope(staging.stream_events(spark, sf_dir))
     )
-    flows = lake_flows(quarantine=True, ingest_time=_ingest_time())
-    LakeJob(spark, layout, {"bike": envelope}, flows).run_available([S.QUARANTINE_BIKE])
+    _job(spark, layout, {"bike": envelope}).run_available([S.QUARANTINE_BIKE])
     return read_table(spark, layout, S.QUARANTINE_BIKE)

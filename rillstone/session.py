@@ -30,7 +30,9 @@ def base_options(shuffle_partitions: int | None = None) -> dict[str, str]:
     return options
 
 
-def streaming_options(spark: SparkSession) -> dict[str, str]:
+def streaming_options(
+    spark: SparkSession, shuffle_partitions: int | None = None
+) -> dict[str, str]:
     """Options of the streaming queries, on top of those of the session.
 
     Adaptive execution serves stateless queries too: it splits a hot station before the
@@ -40,7 +42,7 @@ def streaming_options(spark: SparkSession) -> dict[str, str]:
     and is fixed in the checkpoint. File listing is spread over the cores there are,
     not over a task per file.
     """
-    return {
+    options = {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.streaming.stateless.enabled": "true",
@@ -49,6 +51,9 @@ def streaming_options(spark: SparkSession) -> dict[str, str]:
             2 * spark.sparkContext.defaultParallelism
         ),
     }
+    if shuffle_partitions is not None:
+        options["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    return options
 
 
 @contextmanager

@@ -51,6 +51,14 @@ def _message_columns() -> list:
     ]
 
 
+def _station(city: str) -> list:
+    number = (F.col("m") + 1).cast("string")
+    return [
+        F.concat(F.lit("S"), F.lpad(number, 3, "0")).alias("station_id"),
+        F.concat(F.lit("City"), number).alias(city),
+    ]
+
+
 def bike_readings(events: DataFrame) -> DataFrame:
     """Payload columns of the bike topic, then the envelope's own columns."""
     base = events.select(
@@ -60,8 +68,7 @@ def bike_readings(events: DataFrame) -> DataFrame:
         "bikes_available", (F.col("k") % (F.col("docks_total") + 1)).cast("int")
     )
     return stocked.select(
-        F.format_string("S%03d", F.col("m") + 1).alias("station_id"),
-        F.concat(F.lit("City"), F.col("m") + 1).alias("bike_city"),
+        *_station("bike_city"),
         "docks_total",
         "bikes_available",
         (F.col("docks_total") - F.col("bikes_available")).alias("bikes_occupied"),
@@ -87,8 +94,7 @@ def weather_readings(events: DataFrame) -> DataFrame:
         (1000 + F.col("c") % 30).cast("int").alias("pressure_mb"),
     )
     return measured.select(
-        F.format_string("S%03d", F.col("m") + 1).alias("station_id"),
-        F.concat(F.lit("City"), F.col("m") + 1).alias("weather_city"),
+        *_station("weather_city"),
         "temp_c",
         "precip_mm",
         "humidity",

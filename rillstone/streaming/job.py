@@ -36,6 +36,8 @@ class LakeJob:
     of a stored table one micro-batch takes, so a backlog is worked off in pieces that
     fit the cluster. Summaries declare any row late that arrives in a later batch than
     the one that closed its window: work off a badly ordered backlog in one batch.
+    ``shuffle_partitions`` is the number of state partitions of each summary (default:
+    the session's); a checkpoint keeps the number it was started with.
     """
 
     def __init__(
@@ -46,6 +48,7 @@ class LakeJob:
         flows: tuple[Flow, ...] | None = None,
         max_files_per_trigger: int | None = None,
         max_bytes_per_trigger: str | None = None,
+        shuffle_partitions: int | None = None,
     ) -> None:
         self.spark = spark
         self.layout = layout
@@ -53,6 +56,7 @@ class LakeJob:
         self.flows = lake_flows() if flows is None else flows
         self.max_files_per_trigger = max_files_per_trigger
         self.max_bytes_per_trigger = max_bytes_per_trigger
+        self.shuffle_partitions = shuffle_partitions
         self.queries: dict[str, StreamingQuery] = {}
 
     def start(self) -> dict[str, StreamingQuery]:
@@ -137,7 +141,8 @@ class LakeJob:
         return [flow for flow in self.flows if flow.target in wanted]
 
     def _start(self, flow: Flow, available_now: bool) -> StreamingQuery:
-        with settings(self.spark, streaming_options(self.spark)):
+        options = streaming_options(self.spark, self.shuffle_partitions)
+        with settings(self.spark, options):
             query = write_table_stream(
                 flow.transform(self._read(flow.source)),
                 self.layout,
