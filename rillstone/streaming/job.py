@@ -72,11 +72,10 @@ class LakeJob:
 
     def wait(self, poll_seconds: int = 5) -> None:
         """Block until a flow ends, whether by error or because it was stopped."""
+        running = list(self.queries.values())
         try:
-            while all(query.isActive for query in self.queries.values()):
-                for query in self.queries.values():
-                    if query.awaitTermination(poll_seconds):
-                        break
+            while all(query.isActive for query in running):
+                running[0].awaitTermination(poll_seconds)
         except StreamingQueryException:
             pass
         self.stop()
@@ -134,6 +133,8 @@ class LakeJob:
         frontier = list(only)
         while frontier:
             spec = frontier.pop()
+            if spec not in by_target:
+                raise ValueError(f"no flow fills {spec.view_name}")
             wanted.add(spec)
             source = by_target[spec].source
             if isinstance(source, TableSpec):
