@@ -10,17 +10,20 @@ def weather_bike_hourly(weather_hourly: DataFrame, bike_hourly: DataFrame) -> Da
     """Hourly rain and usage of the same station and hour.
 
     Inner join of two summary tables on (station, hour): both sides are already reduced
-    to a row per station, city and hour, so no key is hot. No broadcast is forced; the
-    planner uses the sides' measured sizes.
+    to a row per station, city and hour, so no key is hot. The hour fixes ``dt``, the
+    partition date, in both tables; joining on it too changes no result and lets a date
+    filter on one side skip partitions of the other. No broadcast is forced; the planner
+    uses the sides' measured sizes.
     """
     rain = weather_hourly.select(
-        "station_id", "window_start", "weather_city", "avg_temp_c_hour", "sum_precip_mm_hour"
+        "station_id", "window_start", "dt", "weather_city", "avg_temp_c_hour",
+        "sum_precip_mm_hour",
     )
     usage = bike_hourly.select(
-        "station_id", "window_start", "bike_city", "bikes_occupied_hour",
+        "station_id", "window_start", "dt", "bike_city", "bikes_occupied_hour",
         "utilization_rate_avg_hour",
     )
-    return rain.join(usage, ["station_id", "window_start"], "inner")
+    return rain.join(usage, ["station_id", "window_start", "dt"], "inner")
 
 
 def utilization_by_hour_of_day(silver: DataFrame) -> DataFrame:

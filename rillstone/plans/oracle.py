@@ -168,8 +168,8 @@ def _bike_minute(closed_only: bool = False) -> str:
 _JOINED = f"""
     WITH rain AS ({_weather_summary("hour")}), usage AS ({_bike_usage("hour")}),
     joined AS (
-        SELECT station_id, window_start, weather_city, avg_temp_c_hour, sum_precip_mm_hour,
-               bike_city, bikes_occupied_hour, utilization_rate_avg_hour
+        SELECT station_id, window_start, rain.dt, weather_city, avg_temp_c_hour,
+               sum_precip_mm_hour, bike_city, bikes_occupied_hour, utilization_rate_avg_hour
         FROM rain JOIN usage USING (station_id, window_start))"""
 
 _STATION_ROWS = ", ".join(

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from datetime import date
 
 import pytest
 from helpers import bike, bronze, plan_of, rows_of, weather
 
+from rillstone import LakeLayout
+from rillstone import schemas as S
 from rillstone.functions import classify_condition
 from rillstone.operators import (
     bike_silver,
@@ -24,6 +27,7 @@ from rillstone.operators import (
     with_station,
 )
 from rillstone.operators.quality import bike_rules
+from rillstone.sources import read_table, write_table
 
 
 @pytest.mark.parametrize("temp, precip, wind, humidity, label", [
@@ -152,6 +156,20 @@ def test_join_is_not_forced_to_broadcast(spark):
     assert "SortMergeJoin" in plan and "Cartesian" not in plan and "NestedLoop" not in plan
 
 
+def test_date_filter_on_one_side_prunes_both(spark, tmp_path):
+    layout = LakeLayout(str(tmp_path))
+    rain, usage = _hourly(spark)
+    write_table(rain, layout, S.GOLD_WEATHER_HOURLY)
+    write_table(usage, layout, S.GOLD_BIKE_HOURLY)
+    joined = weather_bike_hourly(
+        retained(read_table(spark, layout, S.GOLD_WEATHER_HOURLY), date(2024, 1, 20), 5),
+        read_table(spark, layout, S.GOLD_BIKE_HOURLY),
+    )
+    scans = re.findall(r"PartitionFilters: \[[^\]]*", plan_of(joined))
+    assert len(scans) >= 2 and all(">= 2024-01-15" in scan for scan in scans)
+    assert joined.count() == 0
+
+
 def test_utilization_by_hour_of_day(spark):
     frame = bike_silver(bronze(spark, [
         bike(at="2024-01-01T10:00:00Z", available=2), bike(at="2024-01-05T10:59:00Z", available=4),
