@@ -62,6 +62,7 @@ def _newest(df: DataFrame, partition: str, limit: int) -> DataFrame:
     Rows are counted per partition value, which on a columnar table needs file footers
     and no column data; the oldest value still needed becomes a scalar subquery in the
     scan's partition filter. If the values do not add up to ``limit``, nothing is cut.
+    The running total goes over one row per partition value (per day), not over events.
     """
     counts = df.groupBy(partition).agg(F.count(F.lit(1)).alias("n"))
     later = Window.orderBy(F.col(partition).desc_nulls_last()).rowsBetween(

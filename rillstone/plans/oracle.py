@@ -332,6 +332,18 @@ ORACLE: dict[str, str] = {
                bike_city := bike_city, docks_total := docks_total,
                bikes_available := bikes_available))::VARCHAR AS json
     FROM bike""",
+    "weather_json_rows": f"""
+    WITH {_WEATHER}
+    SELECT to_json(struct_pack(
+               station_id := station_id,
+               event_time := strftime(event_time, '%Y-%m-%d %H:%M:%S'),
+               temp_c := temp_c, precip_mm := precip_mm, humidity := humidity,
+               condition := condition))::VARCHAR AS json
+    FROM weather""",
+    "oldest_hours_one_station": f"""
+    SELECT window_start, station_id, bikes_occupied_hour, docks_total
+    FROM ({_bike_usage("hour")}) WHERE station_id = 'S003'
+    ORDER BY window_start ASC NULLS LAST LIMIT 40""",
     "table_recent_bike": _recent(_SILVER_BIKE, _RECENT_BIKE, "event_time", 500),
     "sql_rain_and_usage": f"""
     WITH rain AS ({_weather_summary("hour")}), usage AS ({_bike_usage("hour")})

@@ -282,6 +282,28 @@ def bike_json_rows(spark, sf_dir):
     )
 
 
+@query
+def weather_json_rows(spark, sf_dir):
+    return op.as_json_rows(
+        op.read_view(
+            _weather(spark, sf_dir),
+            ["station_id", "event_time", "temp_c", "precip_mm", "humidity", "condition"],
+        )
+    )
+
+
+@query
+def oldest_hours_one_station(spark, sf_dir):
+    return op.read_view(
+        op.bike_usage(_bike(spark, sf_dir), "hour"),
+        ["window_start", "station_id", "bikes_occupied_hour", "docks_total"],
+        {"station_id": "S003", "bike_city": None},
+        order_by="window_start",
+        descending=False,
+        limit=40,
+    )
+
+
 # ---- stored tables ---------------------------------------------------------------
 
 
