@@ -60,9 +60,8 @@ class LakeJob:
         self.queries: dict[str, StreamingQuery] = {}
 
     def start(self) -> dict[str, StreamingQuery]:
-        """Start every flow; each follows its source until stopped."""
-        for flow in self.flows:
-            self._start(flow, available_now=False)
+        """Start every flow; each follows its source until stopped. All or none run."""
+        self._start_all(self.flows, available_now=False)
         return self.queries
 
     def run(self, poll_seconds: int = 5) -> None:
@@ -78,7 +77,8 @@ class LakeJob:
                 running[0].awaitTermination(poll_seconds)
         except StreamingQueryException:
             pass
-        self.stop()
+        finally:
+            self.stop()
         self._raise_failure()
 
     def run_available(self, only: Iterable[TableSpec] | None = None) -> dict[str, dict]:
@@ -91,7 +91,7 @@ class LakeJob:
         while waiting:
             pending = {flow.target for flow in waiting}
             ready = [flow for flow in waiting if flow.source not in pending]
-            started = [self._start(flow, available_now=True) for flow in ready]
+            started = self._start_all(ready, available_now=True)
             try:
                 for query in started:
                     query.awaitTermination()
@@ -141,6 +141,13 @@ class LakeJob:
                 frontier.append(source)
         return [flow for flow in self.flows if flow.target in wanted]
 
+    def _start_all(self, flows: Iterable[Flow], available_now: bool) -> list[StreamingQuery]:
+        try:
+            return [self._start(flow, available_now) for flow in flows]
+        except Exception:
+            self.stop()
+            raise
+
     def _start(self, flow: Flow, available_now: bool) -> StreamingQuery:
         options = streaming_options(self.spark, self.shuffle_partitions)
         with settings(self.spark, options):

@@ -216,6 +216,23 @@ def test_failure_names_the_flow_and_stops_the_rest(spark, place):
         LakeJob(spark, place.layout, sources, _failing_flows()).run_available()
 
 
+def test_a_flow_that_cannot_start_stops_those_that_did(spark, place):
+    drop_into(spark, place.bike, [bike()])
+    job = LakeJob(
+        spark, place.layout,
+        {"bike": EnvelopeFolder(place.bike), "weather": KafkaTopic("host:9092", "weather")},
+    )
+    with pytest.raises(AnalysisException, match="(?i)kafka"):
+        job.start()
+    assert list(job.queries) == ["bronze_bike"]
+    assert not job.queries["bronze_bike"].isActive
+
+
+def test_unknown_table_is_an_error(spark, place):
+    with pytest.raises(ValueError, match="quarantine_bike"):
+        LakeJob(spark, place.layout, {}).run_available([S.QUARANTINE_BIKE])
+
+
 def test_continuous_run_follows_the_source(spark, place):
     drop_into(spark, place.bike, [bike()])
     flows = tuple(f for f in lake_flows() if f.target in (S.BRONZE_BIKE, S.SILVER_BIKE))
