@@ -77,10 +77,47 @@ def _newest(df: DataFrame, partition: str, limit: int) -> DataFrame:
     return df.where(F.coalesce(F.col(partition) >= cutoff, cutoff.isNull()))
 
 
-def _limited(limit: int, most: int) -> int:
+def _recent(
+    df: DataFrame,
+    columns: list[str],
+    time: str,
+    most: int,
+    station_id: str | None,
+    limit: int,
+    newest_partitions: str | None,
+) -> DataFrame:
     if not 1 <= limit <= most:
         raise ValueError(f"limit must lie in 1..{most}, not {limit}")
-    return limit
+    return read_view(
+        df,
+        columns,
+        {"station_id": station_id},
+        time,
+        limit=limit,
+        newest_partitions=newest_partitions,
+    )
+
+
+_BIKE = [
+    "event_time", "dt", "station_id", "bike_city", "docks_total", "docks_available",
+    "bikes_available", "bikes_occupied",
+]
+_WEATHER = [
+    "event_time", "dt", "station_id", "weather_city", "temp_c", "precip_mm", "humidity",
+    "wind_kph", "pressure_mb", "condition",
+]
+_BIKE_MINUTE = [
+    "minute", "station_id", "bike_city", "bikes_available", "bikes_occupied", "docks_total", "dt",
+]
+_BIKE_HOURLY = [
+    "window_start", "window_end", "dt", "station_id", "bike_city", "bikes_occupied_hour",
+    "bikes_available_avg_hour", "availability_rate_avg_hour", "utilization_rate_avg_hour",
+    "docks_total",
+]
+_WEATHER_HOURLY = [
+    "window_start", "window_end", "dt", "station_id", "weather_city", "avg_temp_c_hour",
+    "sum_precip_mm_hour", "avg_humidity_hour", "avg_wind_kph_hour", "avg_pressure_mb_hour",
+]
 
 
 def recent_bike(
@@ -89,16 +126,8 @@ def recent_bike(
     limit: int = 100,
     newest_partitions: str | None = None,
 ) -> DataFrame:
-    """Newest bike events."""
-    return read_view(
-        silver,
-        ["event_time", "dt", "station_id", "bike_city", "docks_total", "docks_available",
-         "bikes_available", "bikes_occupied"],
-        {"station_id": station_id},
-        "event_time",
-        limit=_limited(limit, 5000),
-        newest_partitions=newest_partitions,
-    )
+    """Newest bike events, at most 5000."""
+    return _recent(silver, _BIKE, "event_time", 5000, station_id, limit, newest_partitions)
 
 
 def recent_weather(
@@ -107,16 +136,8 @@ def recent_weather(
     limit: int = 100,
     newest_partitions: str | None = None,
 ) -> DataFrame:
-    """Newest weather events."""
-    return read_view(
-        silver,
-        ["event_time", "dt", "station_id", "weather_city", "temp_c", "precip_mm", "humidity",
-         "wind_kph", "pressure_mb", "condition"],
-        {"station_id": station_id},
-        "event_time",
-        limit=_limited(limit, 5000),
-        newest_partitions=newest_partitions,
-    )
+    """Newest weather events, at most 5000."""
+    return _recent(silver, _WEATHER, "event_time", 5000, station_id, limit, newest_partitions)
 
 
 def recent_bike_minute(
@@ -125,16 +146,9 @@ def recent_bike_minute(
     limit: int = 200,
     newest_partitions: str | None = None,
 ) -> DataFrame:
-    """Newest minutes of bike counts; the window start is shown as ``minute``."""
-    return read_view(
-        gold.withColumnRenamed("window_start", "minute"),
-        ["minute", "station_id", "bike_city", "bikes_available", "bikes_occupied",
-         "docks_total", "dt"],
-        {"station_id": station_id},
-        "minute",
-        limit=_limited(limit, 10000),
-        newest_partitions=newest_partitions,
-    )
+    """Newest minutes of bike counts, at most 10000; the window start is ``minute``."""
+    named = gold.withColumnRenamed("window_start", "minute")
+    return _recent(named, _BIKE_MINUTE, "minute", 10000, station_id, limit, newest_partitions)
 
 
 def recent_bike_hourly(
@@ -143,17 +157,8 @@ def recent_bike_hourly(
     limit: int = 200,
     newest_partitions: str | None = None,
 ) -> DataFrame:
-    """Newest hours of bike usage."""
-    return read_view(
-        gold,
-        ["window_start", "window_end", "dt", "station_id", "bike_city", "bikes_occupied_hour",
-         "bikes_available_avg_hour", "availability_rate_avg_hour",
-         "utilization_rate_avg_hour", "docks_total"],
-        {"station_id": station_id},
-        "window_start",
-        limit=_limited(limit, 10000),
-        newest_partitions=newest_partitions,
-    )
+    """Newest hours of bike usage, at most 10000."""
+    return _recent(gold, _BIKE_HOURLY, "window_start", 10000, station_id, limit, newest_partitions)
 
 
 def recent_weather_hourly(
@@ -162,16 +167,9 @@ def recent_weather_hourly(
     limit: int = 200,
     newest_partitions: str | None = None,
 ) -> DataFrame:
-    """Newest hours of weather."""
-    return read_view(
-        gold,
-        ["window_start", "window_end", "dt", "station_id", "weather_city", "avg_temp_c_hour",
-         "sum_precip_mm_hour", "avg_humidity_hour", "avg_wind_kph_hour",
-         "avg_pressure_mb_hour"],
-        {"station_id": station_id},
-        "window_start",
-        limit=_limited(limit, 10000),
-        newest_partitions=newest_partitions,
+    """Newest hours of weather, at most 10000."""
+    return _recent(
+        gold, _WEATHER_HOURLY, "window_start", 10000, station_id, limit, newest_partitions
     )
 
 

@@ -45,15 +45,21 @@ class KafkaTopic:
 
 @dataclass(frozen=True)
 class EnvelopeFolder:
-    """A folder of envelope files with the same columns, for replays and tests."""
+    """A folder of envelope files with the same columns, for replays and tests.
+
+    Spark forgets, and then skips, files more than ``max_file_age`` older than the newest
+    one it has read. The default forgets none, since replayed files may keep old dates; it
+    costs the driver an entry per file.
+    """
 
     path: str
     fmt: str = "parquet"
     max_files_per_trigger: int | None = None
     max_bytes_per_trigger: str | None = None
+    max_file_age: str = "36500d"
 
     def read_options(self) -> dict[str, str]:
-        chosen: dict[str, str] = {}
+        chosen = {"maxFileAge": self.max_file_age}
         if self.max_files_per_trigger is not None:
             chosen["maxFilesPerTrigger"] = str(self.max_files_per_trigger)
         if self.max_bytes_per_trigger is not None:

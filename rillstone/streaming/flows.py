@@ -35,7 +35,8 @@ def lake_flows(
 
     Each layer follows the stored layer below, so the source is read twice (once per
     topic) and each text is parsed once, however many summaries there are. With
-    ``quarantine`` two more flows store what strict parsing refuses. ``every`` is the
+    ``quarantine`` two more flows read bronze and store what strict parsing refuses, each
+    at the price of a second parse. ``every`` is the
     trigger interval of all flows but the minute table's; each micro-batch adds at least
     one file per table partition it touches, so a longer interval means fewer, larger files.
     """

@@ -15,6 +15,7 @@ from rillstone.operators import (
     as_json_rows,
     bike_minute,
     bike_silver,
+    bike_usage,
     read_view,
     recent_bike,
     recent_bike_hourly,
@@ -139,6 +140,24 @@ def test_newest_partitions_give_the_same_rows(spark, lake, station, limit):
     assert pruned.collect() == recent_bike(table, station, limit).collect()
 
 
+@pytest.mark.parametrize("limit", [1, 2, 3, 4, 7, 8, 9, 200])
+def test_newest_partitions_of_hours_around_midnight(hours, limit):
+    pruned = recent_bike_hourly(hours, limit=limit, newest_partitions="dt")
+    assert pruned.collect() == recent_bike_hourly(hours, limit=limit).collect()
+
+
+@pytest.fixture(scope="module")
+def hours(spark, tmp_path_factory):
+    """The last hour of a day lies in the next day's partition."""
+    layout = LakeLayout(str(tmp_path_factory.mktemp("hours")))
+    moments = [f"2024-01-0{d}T{h}:15:00Z" for d in (1, 2) for h in ("00", "22", "23")]
+    events = [bike(s, at) for at in moments for s in ("S001", "S002")]
+    write_table(
+        bike_usage(bike_silver(bronze(spark, events)), "hour"), layout, S.GOLD_BIKE_HOURLY
+    )
+    return read_table(spark, layout, S.GOLD_BIKE_HOURLY)
+
+
 def test_newest_partitions_are_chosen_in_the_scan(spark, lake):
     pruned = recent_bike(
         read_table(spark, lake, S.SILVER_BIKE), limit=4, newest_partitions="dt"

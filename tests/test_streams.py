@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import time
 from datetime import datetime
 from types import SimpleNamespace
@@ -165,6 +166,17 @@ def test_keep_and_quarantine(spark, place):
     )
 
 
+def test_files_with_old_dates_are_not_skipped(spark, place):
+    drop_into(spark, place.bike, [bike()])
+    run(spark, place, S.BRONZE_BIKE)
+    known = set(os.listdir(place.bike))
+    drop_into(spark, place.bike, [bike("S002")])
+    for name in set(os.listdir(place.bike)) - known:
+        os.utime(os.path.join(place.bike, name), (1_500_000_000, 1_500_000_000))
+    run(spark, place, S.BRONZE_BIKE)
+    assert table(spark, place, S.BRONZE_BIKE).count() == 2
+
+
 def test_json_envelopes(spark, place):
     publish(
         to_envelope(spark.createDataFrame([bike()]), "bike"), EnvelopeFolder(place.bike, "json")
