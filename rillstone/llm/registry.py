@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 from rillstone.llm.bpe import op5_bpe
+from rillstone.llm.substrings import OP4_SQL, op4_substrings
 
 QUERIES = {
+    "op4_substrings": op4_substrings,
     "op5_bpe": op5_bpe,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op4_substrings": OP4_SQL,
+}
