@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from rillstone.llm.bpe import op5_bpe
+from rillstone.llm.jaccard import op3_jaccard
 from rillstone.llm.substrings import OP4_SQL, op4_substrings
 
 QUERIES = {
+    "op3_jaccard": op3_jaccard,
     "op4_substrings": op4_substrings,
     "op5_bpe": op5_bpe,
 }
