@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from rillstone.llm.bpe import op5_bpe
+from rillstone.llm.decontaminate import OP7_SQL, op7_decontaminate
 from rillstone.llm.jaccard import op3_jaccard
 from rillstone.llm.substrings import OP4_SQL, op4_substrings
 
@@ -10,8 +11,10 @@ QUERIES = {
     "op3_jaccard": op3_jaccard,
     "op4_substrings": op4_substrings,
     "op5_bpe": op5_bpe,
+    "op7_decontaminate": op7_decontaminate,
 }
 
 ORACLE: dict[str, str] = {
     "op4_substrings": OP4_SQL,
+    "op7_decontaminate": OP7_SQL,
 }
