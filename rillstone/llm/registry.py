@@ -5,6 +5,7 @@ from __future__ import annotations
 from rillstone.llm.bpe import op5_bpe
 from rillstone.llm.decontaminate import OP7_SQL, op7_decontaminate
 from rillstone.llm.jaccard import op3_jaccard
+from rillstone.llm.ordinal import op9_quality
 from rillstone.llm.substrings import OP4_SQL, op4_substrings
 
 QUERIES = {
@@ -12,6 +13,7 @@ QUERIES = {
     "op4_substrings": op4_substrings,
     "op5_bpe": op5_bpe,
     "op7_decontaminate": op7_decontaminate,
+    "op9_quality": op9_quality,
 }
 
 ORACLE: dict[str, str] = {
