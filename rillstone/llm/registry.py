@@ -5,6 +5,7 @@ from __future__ import annotations
 from rillstone.llm.bpe import op5_bpe
 from rillstone.llm.decontaminate import OP7_SQL, op7_decontaminate
 from rillstone.llm.jaccard import op3_jaccard
+from rillstone.llm.maxent import op10_maxent
 from rillstone.llm.ordinal import op9_quality
 from rillstone.llm.substrings import OP4_SQL, op4_substrings
 
@@ -14,6 +15,7 @@ QUERIES = {
     "op5_bpe": op5_bpe,
     "op7_decontaminate": op7_decontaminate,
     "op9_quality": op9_quality,
+    "op10_maxent": op10_maxent,
 }
 
 ORACLE: dict[str, str] = {
