@@ -8,11 +8,13 @@ from rillstone.llm.jaccard import op3_jaccard
 from rillstone.llm.maxent import op10_maxent
 from rillstone.llm.ordinal import op9_quality
 from rillstone.llm.substrings import OP4_SQL, op4_substrings
+from rillstone.llm.toxicity import op6_toxicity
 
 QUERIES = {
     "op3_jaccard": op3_jaccard,
     "op4_substrings": op4_substrings,
     "op5_bpe": op5_bpe,
+    "op6_toxicity": op6_toxicity,
     "op7_decontaminate": op7_decontaminate,
     "op9_quality": op9_quality,
     "op10_maxent": op10_maxent,
