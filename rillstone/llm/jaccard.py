@@ -37,6 +37,12 @@ from rillstone.llm.components import connected_components
 
 #: Leaders a list proposes pairs with before the exact round.
 LEADERS = 6
+#: Min-hashes of a set; pairs with a leader are looked up if at least LIKELY of them agree.
+MIN_HASHES = 16
+LIKELY = 10
+#: Members of a list that are looked at together, and lists that one task has at once.
+LIST_PIECE = 4096
+ROWS_TOGETHER = 256
 #: Pieces in which the rows of a set of equal texts look up their group.
 SALTS = 16
 
@@ -99,13 +105,14 @@ def _sets(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(hashes), np.concatenate(rows)
 
 
-SET_SCHEMA = "id long, n_shingles long, print1 long, print2 long, live boolean, posted int, shared array<long>"
+SET_SCHEMA = "id long, n_shingles long, print1 long, print2 long, live boolean, posted int, shared array<long>, sketch array<int>"
 
 
 def shingle_sets(docs: DataFrame, id_column: str, text_column: str, size: int, percent: int) -> DataFrame:
     """Per row its set size and two hashes of the set; for rows that may have a partner (``live``) the
     shingles that other rows hold too, shortest list first, of which the first ``posted`` propose
-    candidates. ``posted`` counts from the front of the whole set, whose unshared shingles come first."""
+    candidates. ``posted`` counts from the front of the whole set, whose unshared shingles come first.
+    ``sketch`` has min-hashes of the set."""
     plain = docs.select(docs[id_column].cast("long").alias("id"), docs[text_column].cast("string").alias("text"))
     grid = exchange.grid_for(plain)
     blocked, block = exchange.in_blocks(plain, "id", grid)
@@ -135,9 +142,11 @@ def shingle_sets(docs: DataFrame, id_column: str, text_column: str, size: int, p
         needed = -(-percent * n // 100)
         many = np.bincount(row, weights=length >= 2, minlength=rows)
         live = (many >= needed) & (n > 0) & table["id"].is_valid().to_numpy(zero_copy_only=False)
-        shared, sizes = [np.zeros(0, np.int64)], np.zeros(rows, np.int64)
+        shared, sizes, sketches = [np.zeros(0, np.int64)], np.zeros(rows, np.int64), [None] * rows
+        factors = arrays.mix(np.arange(1, MIN_HASHES + 1, dtype=np.uint64)) | np.uint64(1)
         for k in np.flatnonzero(live).tolist():
             own, df = h[bounds[k] : bounds[k + 1]], length[bounds[k] : bounds[k + 1]]
+            sketches[k] = [int((arrays.mix(own * f) >> np.uint64(33)).min()) for f in factors]
             own = own[np.lexsort((own, df))][int((df < 2).sum()) :]
             shared.append(own.view(np.int64))
             sizes[k] = len(own)
@@ -150,6 +159,7 @@ def shingle_sets(docs: DataFrame, id_column: str, text_column: str, size: int, p
                 "live": pa.array(live),
                 "posted": pa.array((n - needed + 1).astype(np.int32)),
                 "shared": pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(np.concatenate(shared))),
+                "sketch": pa.array(sketches, pa.list_(pa.int32())),
             }
         )
 
@@ -192,37 +202,32 @@ def jaccard_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str
     found = stored(shingle_sets(docs, id_column, text_column, size, percent), "sets")
     live = found.where("live")
     equal = live.groupBy("print1", "print2", F.col("n_shingles").alias("n")).agg(F.min("id").alias("rep"))
-    firsts = live.select("id", "posted", "shared", "print1", "print2", F.col("n_shingles").alias("n"))
+    firsts = live.select("id", "posted", "shared", "sketch", "print1", "print2", F.col("n_shingles").alias("n"))
     equal = stored(equal, "classes")
     # Only a representative meets its class; its other rows have no equal id.
     mine = equal.select(F.col("rep").alias("id"), "print1", "print2", "n")
-    sets = stored(firsts.join(mine, ["id", "print1", "print2", "n"], "left_semi").dropDuplicates(["id", "print1", "print2"]), "representatives")
-
-    postings = stored(
-        sets.select("id", "n", (F.col("n") - F.size("shared")).alias("unshared"), F.posexplode(F.slice("shared", 1, F.greatest(F.lit(0), F.col("posted") - F.col("n").cast("int") + F.size("shared").cast("int"))))).select(
-            F.col("col").alias("s"), "id", "n", (F.col("pos") + 1 + F.col("unshared")).alias("place")
-        ),
-        "postings",
-    )
-    ranked = [F.struct(F.xxhash64("id", F.lit(k)).alias("r"), F.col("id").alias("leader"), F.col("n").alias("m"), F.col("place").alias("leader_place")) for k in range(LEADERS - 2)]
-    sized = F.struct(F.col("n").alias("r"), F.col("id").alias("leader"), F.col("n").alias("m"), F.col("place").alias("leader_place"))
-    leaders = postings.groupBy("s").agg(F.count("*").alias("length"), F.array_distinct(F.array(F.min(sized), F.max(sized), *(F.min(x) for x in ranked))).alias("leaders"))
-    leaders = stored(leaders.where("length > 1").select("s", F.explode("leaders").alias("l")).select("s", "l.leader", "l.m", "l.leader_place"), "leaders")
-    near = postings.join(leaders, "s").where(f"id <> leader AND least(n, m) * 100 >= greatest(n, m) * {percent}")
-    pairs = _possible(near.select(F.col("leader").alias("a"), F.col("id").alias("b"), F.col("m").alias("n_a"), F.col("n").alias("n_b"), F.col("leader_place").alias("p_a"), F.col("place").alias("p_b")), percent)
-    links = stored(_links(stored(pairs, "pairs"), sets, percent), "links")
+    sets = firsts.join(mine, ["id", "print1", "print2", "n"], "left_semi").dropDuplicates(["id", "print1", "print2"])
+    sets = stored(sets.withColumn("m", F.size("shared").cast("long")), "representatives")
+
+    # The first ``posted`` of a whole set, without the unshared ones; places count from 1.
+    front = F.slice("shared", 1, F.greatest(F.lit(0), F.col("posted") - (F.col("n") - F.col("m")).cast("int")))
+    postings = sets.select("id", "n", "m", F.posexplode(front).alias("pos", "s")).select("s", "id", "n", "m", (F.col("pos") + 1 + F.col("n") - F.col("m")).alias("place"))
+    postings = stored(postings, "postings")
+
+    ranks = [F.xxhash64("id", F.lit(k)) for k in range(LEADERS - 2)]
+    named = [F.struct(r.alias("r"), F.col("id").alias("leader"), F.col("n").alias("n_b")) for r in (F.col("n"), -F.col("n"), *ranks)]
+    leaders = postings.groupBy("s").agg(F.count("*").alias("length"), F.array_distinct(F.array(*(F.struct(F.min(x).leader.alias("leader"), F.min(x).n_b.alias("n_b")) for x in named))).alias("l"))
+    leaders = stored(leaders.where("length > 1").select("s", F.explode("l").alias("l")).select("s", "l.*"), "leaders")
+    near = postings.join(leaders, "s").where(f"id <> leader AND least(n, n_b) * 100 >= greatest(n, n_b) * {percent}")
+    pairs = stored(near.select(F.least("id", "leader").alias("u"), F.greatest("id", "leader").alias("v")).distinct(), "pairs")
+    left, right = (sets.select(F.col("id").alias(x), F.col("sketch").alias(f"sketch_{x}")) for x in ("u", "v"))
+    agree = F.aggregate(F.zip_with("sketch_u", "sketch_v", lambda x, y: (x == y).cast("int")), F.lit(0), lambda x, y: x + y)
+    likely = stored(pairs.join(left, "u").join(right, "v").where(agree >= LIKELY).select("u", "v"), "likely")
+    links = stored(_links(likely, sets, percent), "links")
 
     known = connected_components(links)
-    placed = stored(postings.join(known, F.col("id") == F.col("node"), "left").select("s", "id", "n", "place", F.coalesce("component", "id").alias("component")), "placed")
-    sizes = placed.groupBy("s", "component").count()
-    main = stored(sizes.groupBy("s").agg(F.count("*").alias("groups"), F.max_by("component", F.struct("count", "component")).alias("main")).where("groups > 1").drop("groups"), "open")
-    rest = stored(placed.join(main, "s").where("component <> main"), "rest")
-    others = placed.select("s", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("place").alias("p_b"), F.col("component").alias("c_b"))
-    # A pair of two groups is met in each list they share: one of them is outside its main group.
-    across = rest.join(others, "s").where(
-        f"component <> c_b AND (c_b = main OR id < b) AND least(n, n_b) * 100 >= greatest(n, n_b) * {percent}"
-    )
-    pairs = _possible(across.select(F.col("id").alias("a"), "b", F.col("n").alias("n_a"), "n_b", F.col("place").alias("p_a"), "p_b"), percent)
+    placed = stored(postings.join(known, F.col("id") == F.col("node"), "left").select("s", "id", "n", "m", "place", F.coalesce("component", "id").alias("component")), "placed")
+    pairs = _across(placed, percent)
     more = stored(_links(stored(pairs, "pairs"), sets, percent), "links")
 
     group = connected_components(links.union(more))
@@ -234,18 +239,53 @@ def jaccard_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str
     return joined.select("id", "n_shingles", "component_id").union(alone).withColumnRenamed("id", id_column)
 
 
-def _possible(pairs: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs (u < v) whose common lists leave room for enough further common shingles."""
-    flip = F.col("a") > F.col("b")
-    ordered = pairs.select(
-        F.least("a", "b").alias("u"),
-        F.greatest("a", "b").alias("v"),
-        *(F.when(flip, F.col(f"{x}_b")).otherwise(F.col(f"{x}_a")).alias(f"{x}_u") for x in ("n", "p")),
-        *(F.when(flip, F.col(f"{x}_a")).otherwise(F.col(f"{x}_b")).alias(f"{x}_v") for x in ("n", "p")),
-    ).distinct()
-    seen = ordered.groupBy("u", "v").agg(F.count("*").alias("k"), *(F.max(x).alias(x) for x in ("n_u", "n_v", "p_u", "p_v")))
-    most = F.col("k") + F.least(F.col("n_u") - F.col("p_u"), F.col("n_v") - F.col("p_v"))
-    return seen.where(most * (100 + percent) >= (F.col("n_u") + F.col("n_v")) * percent).select("u", "v")
+def _across(placed: DataFrame, percent: int) -> DataFrame:
+    """Pairs (u, v) of documents of two groups that share a list and may link.
+
+    A list is open if it has members of several groups; those outside its main group ask. An asking
+    document meets the open lists it is in, packed into arrays, and counts in how many of them each
+    other document is and where: its last place leaves room for only so many common shingles. Lists
+    are cut by their members' hashes, so that a piece of any list is bounded and all that two
+    documents share is counted in one place.
+    """
+    sizes = placed.groupBy("s", "component").count()
+    lists = sizes.groupBy("s").agg(F.count("*").alias("groups"), F.sum("count").alias("length"), F.max_by("component", F.struct("count", "component")).alias("main"))
+    lists = stored(lists.where("groups > 1").select("s", "length", "main"), "lists")
+    longest = lists.agg(F.max("length")).first()[0] or 1
+    members = stored(placed.join(lists.select("s", "main"), "s"), "members")
+    asking = stored(members.where("component <> main").select("id").distinct().withColumn("asks", F.lit(True)), "asking")
+    members = stored(members.join(asking, "id", "left").withColumn("asks", F.coalesce("asks", F.lit(False))), "members")
+    piece = F.pmod(F.xxhash64("id"), F.lit(-(-longest // LIST_PIECE))).cast("int")
+    pieces = members.groupBy("s", piece.alias("piece")).agg(F.collect_list(F.struct("id", "n", "m", "place", "component", "asks")).alias("entries"))
+    asked = members.where("asks").select("s", *(F.col(c).alias(f"q_{c}") for c in ("id", "n", "m", "place", "component")))
+    rows = asked.join(stored(pieces, "pieces"), "s")
+    buckets = max(1, asked.count() // ROWS_TOGETHER)
+    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("q_id"), F.lit(buckets)).cast("int"))
+
+    def count(table: pa.Table) -> pa.Table:
+        entries = table["entries"].combine_chunks()
+        per_row = entries.value_lengths().to_numpy()
+        flat = entries.flatten()
+        id_, n, m, place, component = (flat.field(c).to_numpy() for c in ("id", "n", "m", "place", "component"))
+        asks = flat.field("asks").to_numpy(zero_copy_only=False)
+        q_id, q_n, q_m, q_place, q_component = (np.repeat(table[f"q_{c}"].to_numpy(), per_row) for c in ("id", "n", "m", "place", "component"))
+        # Linked sets hold no more in common than: the lesser place up to a common shingle and the
+        # lesser rest after it; the fewer shared shingles.
+        room = np.minimum(np.minimum(place, q_place) + np.minimum(n - place, q_n - q_place), np.minimum(m, q_m))
+        keep = (component != q_component) & (~asks | (q_id < id_)) & (room * (100 + percent) >= (n + q_n) * percent)
+        u, v = q_id[keep], id_[keep]
+        order = np.lexsort((v, u))
+        u, v = u[order], v[order]
+        first = np.flatnonzero(np.concatenate([[True], (u[1:] != u[:-1]) | (v[1:] != v[:-1])])[: len(u)])
+        if not len(first):
+            return pa.table({"u": pa.array([], pa.int64()), "v": pa.array([], pa.int64())})
+        rest = np.minimum((n - place)[keep][order], (q_n - q_place)[keep][order])
+        both = (n + q_n)[keep][order][first]
+        most = np.diff(np.append(first, len(u))) + np.minimum.reduceat(rest, first)
+        may = most * (100 + percent) >= both * percent
+        return pa.table({"u": pa.array(u[first][may]), "v": pa.array(v[first][may])})
+
+    return rows.groupBy("bucket", "piece").applyInArrow(count, "u long, v long")
 
 
 def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
