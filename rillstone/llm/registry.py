@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from rillstone.llm.ann import op8_ann
 from rillstone.llm.bpe import op5_bpe
 from rillstone.llm.decontaminate import OP7_SQL, op7_decontaminate
 from rillstone.llm.jaccard import op3_jaccard
@@ -16,6 +17,7 @@ QUERIES = {
     "op5_bpe": op5_bpe,
     "op6_toxicity": op6_toxicity,
     "op7_decontaminate": op7_decontaminate,
+    "op8_ann": op8_ann,
     "op9_quality": op9_quality,
     "op10_maxent": op10_maxent,
 }
