@@ -28,6 +28,7 @@ from rillstone.llm.html_training import labelled_pages
 
 FEATURES = 1 << 14
 LABELS = ("other", "main")
+SECTIONS = frozenset("article aside footer form header main nav".split())
 _known: dict[str, int] = {}
 
 
@@ -58,6 +59,11 @@ def block_features(blocks: list[Block]) -> list[list[int]]:
             for tag, words in block.path:
                 names += [f"word {w}" for w in words]
                 names += [f"named {tag} {w}" for w in words]
+            # The region that speaks last: the nearest ancestors with a name or a section's tag.
+            regions = [(t, w) for t, w in block.path if w or t in SECTIONS][-2:]
+            for tag, words in regions:
+                names += [f"near {tag}", *(f"near {w}" for w in words)]
+            names += [f"inner {w}" for _, words in regions[-1:] for w in words]
             own = paths[block.path] = [_number(n) for n in dict.fromkeys(names)]
         size = len(block.text)
         rest = [
@@ -104,8 +110,9 @@ def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
     return top + np.log(np.exp(x - np.expand_dims(top, axis)).sum(axis))
 
 
-def train(pages: list[tuple[str, list[str]]], epochs: int = 10, rate: float = 0.3, ridge: float = 1e-3) -> Field:
-    """Adaptive gradient ascent, page by page, on the penalised log-likelihood."""
+def train(pages: list[tuple[str, list[str]]], epochs: int = 9, rate: float = 0.2, ridge: float = 1e-4) -> Field:
+    """Adaptive gradient ascent, page by page, on the penalised log-likelihood; the weights after
+    each later epoch are averaged."""
     sequences = []
     for page, labels in pages:
         blocks = leaf_blocks(page)
@@ -115,8 +122,10 @@ def train(pages: list[tuple[str, list[str]]], epochs: int = 10, rate: float = 0.
             sequences.append((block_features(blocks), np.array([LABELS.index(x) for x in labels])))
     field = Field(np.zeros((FEATURES, 2)), np.zeros((2, 2)))
     square, turn_square = np.full((FEATURES, 2), 1e-2), np.full((2, 2), 1e-2)
-    for _ in range(epochs):
-        for rows, gold in sequences:
+    order, kept = np.random.default_rng(3), []
+    for epoch in range(epochs):
+        for place in order.permutation(len(sequences)):
+            rows, gold = sequences[place]
             scores, n = field.scores(rows), len(rows)
             forward, backward = scores.copy(), np.zeros((n, 2))
             for t in range(1, n):
@@ -139,7 +148,9 @@ def train(pages: list[tuple[str, list[str]]], epochs: int = 10, rate: float = 0.
             field.weights[places] += rate * gradient / np.sqrt(square[places])
             turn_square += turn**2
             field.turns += rate * turn / np.sqrt(turn_square)
-    return field
+        if epoch >= epochs // 3:
+            kept.append((field.weights.copy(), field.turns.copy()))
+    return Field(sum(w for w, _ in kept) / len(kept), sum(t for _, t in kept) / len(kept))
 
 
 def main_text(page: str | None, field: Field) -> str:

@@ -47,6 +47,7 @@ def _attributes(r: random.Random, names: list[str], must: bool) -> str:
 def _main(r: random.Random) -> tuple[str, list[str]]:
     tag = r.choice(["article", "article", "main", "div", "section", "td", "div"])
     out, labels = [], []
+    longest = r.choice([6, 15, 40, 90, 90])  # short articles happen
 
     def add(mark: str, text: str) -> None:
         out.append(mark.replace("~", text))
@@ -56,10 +57,10 @@ def _main(r: random.Random) -> tuple[str, list[str]]:
         add(r.choice(["<h1>~</h1>", "<h1 class=title>~</h1>", "<h2>~</h2>", "<header><h1>~</h1></header>"]), _words(r, 1, 12))
     if r.random() < 0.15:
         add('<p class="lead">~</p>', _words(r, 8, 40))
-    for _ in range(r.randint(1, 9)):
+    for _ in range(r.choice([1, 1, 2, 3, 4, 6, 9])):
         kind = r.random()
         if kind < 0.7:
-            add(r.choice(["<p>~</p>", "<p>~", "<p><b>~</b></p>", "<p>~<br>", "<div>~</div>"]), _words(r, 1, 90))
+            add(r.choice(["<p>~</p>", "<p>~", "<p><b>~</b></p>", "<p>~<br>", "<div>~</div>"]), _words(r, 1, longest))
         elif kind < 0.78:
             add(r.choice(["<h2>~</h2>", "<h3>~</h3>"]), _words(r, 1, 8))
         elif kind < 0.86:
@@ -102,6 +103,7 @@ def _other(r: random.Random, kind: str) -> tuple[str, list[str]]:
     tag = r.choice(tags)
     semantic = tag in ("nav", "header", "footer", "aside", "form")
     out, count = [], 0
+    wordy = r.choice([1, 1, 2, 4])
 
     def add(mark: str, text: str) -> None:
         nonlocal count
@@ -118,7 +120,7 @@ def _other(r: random.Random, kind: str) -> tuple[str, list[str]]:
         if r.random() < 0.7:
             add("<h3>~</h3>", r.choice(["Comments", "3 comments", "Kommentare", _words(r, 1, 2)]))
         for _ in range(r.randint(1, 5)):
-            add(r.choice(["<p>~</p>", '<div class="comment"><p>~</p></div>', "<li>~</li>", '<div class="comment-body">~</div>']), _words(r, 2, 60))
+            add(r.choice(["<p>~</p>", '<div class="comment"><p>~</p></div>', "<li>~</li>", '<div class="comment-body">~</div>', '<article class="comment"><p>~</p></article>']), _words(r, 2, 30 * wordy))
     elif kind == "form":
         add("<label>~</label><input name=q>", _words(r, 1, 4))
         if r.random() < 0.4:
@@ -128,11 +130,11 @@ def _other(r: random.Random, kind: str) -> tuple[str, list[str]]:
             add("<h3>~</h3>", _words(r, 1, 4))
         for _ in range(r.randint(1, 3)):
             if kind == "footer":
-                add(r.choice(["<p>~</p>", "<div>~</div>", "~<br><div></div>"]), r.choice(["&copy; ", "© ", ""]) + _words(r, 2, 20))
+                add(r.choice(["<p>~</p>", "<div>~</div>", "~<br><div></div>"]), r.choice(["&copy; ", "© ", ""]) + _words(r, 2, 15 * wordy))
             elif kind == "header":
                 add(r.choice(["<div>~</div>", "<h1>~</h1>", "<p>~</p>", "<a href='/'>~</a><div></div>"]), _words(r, 1, 6))
             else:
-                add(r.choice(["<p>~</p>", "<div>~</div>", "<li><a href='/b'>~</a></li>", "<p><a href='/c'>~</a></p>", "~<div></div>"]), _words(r, 2, 35))
+                add(r.choice(["<p>~</p>", "<div>~</div>", "<li><a href='/b'>~</a></li>", "<p><a href='/c'>~</a></p>", "~<div></div>"]), _words(r, 2, 25 * wordy))
     body = "".join(out)
     return f"<{tag}{_attributes(r, names, not semantic)}>{body}</{tag}>", ["other"] * count
 
