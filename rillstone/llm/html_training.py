@@ -18,7 +18,7 @@ OTHER = {
     "footer": (["footer", "div"], ["footer", "bottom", "site-footer", "copyright", "legal", "colophon"]),
     "aside": (["aside", "div"], ["sidebar", "widget", "related", "aside", "recommended", "popular", "trending", "teaser", "more", "tags", "rail"]),
     "notice": (["div", "section", "aside"], ["cookie", "consent", "notice", "banner", "popup", "modal", "alert", "newsletter", "subscribe", "paywall", "gdpr", "disclaimer", "overlay"]),
-    "ad": (["div", "aside", "section", "ins"], ["ad", "ads", "advert", "advertisement", "sponsor", "sponsored", "promo", "promotion", "adbox"]),
+    "ad": (["div", "aside", "section"], ["ad", "ads", "advert", "advertisement", "sponsor", "sponsored", "promo", "promotion", "adbox"]),
     "form": (["form", "div"], ["search", "login", "form", "signup", "contact", "subscribe"]),
     "comments": (["section", "div", "ol"], ["comments", "comment", "comment-list", "discussion", "replies", "responses", "reviews", "disqus"]),
     "share": (["div", "ul"], ["share", "social", "sharing", "toolbar", "buttons", "follow"]),
