@@ -7,12 +7,14 @@ from rillstone.llm.bpe import op5_bpe
 from rillstone.llm.decontaminate import OP7_SQL, op7_decontaminate
 from rillstone.llm.html_extract import op2_html
 from rillstone.llm.jaccard import op3_jaccard
+from rillstone.llm.licenses import op1_licenses
 from rillstone.llm.maxent import op10_maxent
 from rillstone.llm.ordinal import op9_quality
 from rillstone.llm.substrings import OP4_SQL, op4_substrings
 from rillstone.llm.toxicity import op6_toxicity
 
 QUERIES = {
+    "op1_licenses": op1_licenses,
     "op2_html": op2_html,
     "op3_jaccard": op3_jaccard,
     "op4_substrings": op4_substrings,
