@@ -13,18 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillstone.llm.bpe import encode_documents
-from rillstone.llm.common import fresh_name, read, stored
+from rillstone.llm.common import read, stored
 from rillstone.llm.decontaminate import verbatim_matches
 from rillstone.llm.jaccard import jaccard_groups
 from rillstone.llm.ordinal import graded, train
 from rillstone.llm.substrings import dedup_substrings
 
 
-def _with(docs: DataFrame, found: DataFrame, columns: list[str]) -> DataFrame:
-    """``docs`` with columns of ``found`` of the same doc_id (one row each)."""
-    return docs.join(found.select("doc_id", *columns).where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]), "doc_id", "left").select(*docs.columns, *columns)
-
-
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go. The classifier learns from the rated ones among all documents."""
     model = train(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), "quality")
@@ -41,17 +36,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated passages are cut. A text that loses words becomes its other words joined by one
     space, and n_chars their length; other texts stay as they are."""
-    found = dedup_substrings(docs.select("doc_id", "text")).where("n_removed > 0")
-    kept = fresh_name(docs, "kept")
-    cut = _with(docs, found.withColumnRenamed("kept", kept), [kept])
-    return cut.select(
-        *(
-            F.coalesce(kept, "text").alias("text") if c == "text"
-            else F.when(F.col(kept).isNull(), F.col(c)).otherwise(F.char_length(kept).cast("long")).alias(c) if c == "n_chars"
-            else F.col(c)
-            for c in docs.columns
-        )
-    )
+    rest = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
+    found = dedup_substrings(docs, carry=rest)
+    made = {"doc_id": F.col("doc_id"), "text": F.col("kept")}
+    if "n_chars" in rest:
+        made["n_chars"] = F.when(F.col("n_removed") > 0, F.char_length("kept").cast("long")).otherwise(F.col("carried.n_chars"))
+    return found.select(*(made.get(c, F.col(f"carried.{c}")).alias(c) for c in docs.columns))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +25,7 @@ WINDOW = 13
 
 
 def _ordered(table: pa.Table) -> pa.Table:
-    return table.sort_by([("id", "ascending")]).combine_chunks()
+    return table.take(pc.sort_indices(table["id"])).combine_chunks()
 
 
 def _windows(table: pa.Table, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -48,10 +49,11 @@ def _owners(table: pa.Table, window: int):
     return h[order][first], row[order][first], row, where
 
 
-def dedup_substrings(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", window: int = WINDOW) -> DataFrame:
+def dedup_substrings(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", window: int = WINDOW, carry: tuple[str, ...] = ()) -> DataFrame:
     """Per row: id, n_words, n_removed, ``removed`` (maximal [first, last + 1) word intervals) and
-    ``kept`` (the other words joined by one space)."""
-    plain = docs.select(docs[id_column].cast("long").alias("id"), docs[text_column].cast("string").alias("text"))
+    ``kept`` (the other words joined by one space). ``carry`` names columns to pass along in the
+    struct ``carried``, with the unchanged text where nothing was removed, so that no join is needed."""
+    plain = docs.select(docs[id_column].cast("long").alias("id"), docs[text_column].cast("string").alias("text"), *([F.struct(*[docs[c].alias(c) for c in carry]).alias("carried")] if carry else []))
     grid = exchange.grid_for(plain)
     blocked, block = exchange.in_blocks(plain, "id", grid)
 
@@ -100,17 +102,26 @@ def dedup_substrings(docs: DataFrame, id_column: str = "doc_id", text_column: st
         flat, counts = np.concatenate(spans).astype(np.int32), np.concatenate(span_counts)
         offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
         pairs = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, 2, dtype=np.int32)), pa.array(flat))
+        whole = pa.chunked_array(kept, pa.string())
+        columns = {}
+        if carry:
+            removed = pa.array(np.concatenate(n_removed) > 0)
+            whole = pc.if_else(removed, whole.combine_chunks(), table["text"].combine_chunks())
+            columns["carried"] = table["carried"]
         return pa.table(
             {
                 "id": table["id"],
                 "n_words": pa.array(np.concatenate(n_words).astype(np.int64)),
                 "n_removed": pa.array(np.concatenate(n_removed).astype(np.int64)),
                 "removed": pa.ListArray.from_arrays(offsets, pairs),
-                "kept": pa.chunked_array(kept, pa.string()),
+                "kept": whole,
+                **columns,
             }
         )
 
     schema = "id long, n_words long, n_removed long, removed array<array<int>>, kept string"
+    if carry:
+        schema += f", carried {plain.schema['carried'].dataType.simpleString()}"
     return exchange.ask(blocked, block, entries, merge, apply, schema).withColumnRenamed("id", id_column)
 
 
