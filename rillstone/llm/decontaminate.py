@@ -169,7 +169,7 @@ def verbatim_matches(
     every item, where they begin in the item and in the text, and their lengths in words."""
     spark = docs.sparkSession
     row_kind = docs.schema.simpleString()
-    rows = docs.select(F.struct("*").alias("row"), docs[text_column].cast("string").alias("text"), F.lit(None).cast("long").alias("n_words"), F.lit(None).cast("long").alias("n_hit"), F.array().cast(MATCHES).alias("matches"))
+    rows = docs.select(F.struct("*").alias("row"), F.lit(None).cast("long").alias("n_words"), F.lit(None).cast("long").alias("n_hit"), F.array().cast(MATCHES).alias("matches"))
     for suffixes in benchmark_blocks(items, item_id, item_text, window, block_bytes):
         shared = spark.sparkContext.broadcast(suffixes)
 
@@ -177,12 +177,12 @@ def verbatim_matches(
             kind = pa.struct([("item_id", pa.string()), ("item_word", pa.int32()), ("doc_word", pa.int32()), ("length", pa.int32())])
             known = shared.value
             for batch in batches:
-                offsets, data = arrays.text_buffer(batch.column(1))
+                offsets, data = arrays.text_buffer(batch.column(0).field(text_column))
                 n_words, n_hit, matches = [], [], []
                 for a, b in arrays.row_chunks(offsets, SHARD_BYTES):
                     words = arrays.words_of(data[offsets[a] : offsets[b]], offsets[a : b + 1], arrays.ALNUM, lower=True)
                     row, item, item_word, doc_word, length = longest_matches(words, known)
-                    old = batch.column(4).slice(a, b - a)
+                    old = batch.column(3).slice(a, b - a)
                     old_row = np.repeat(np.arange(b - a), old.value_lengths().to_numpy())
                     flat = old.flatten()
                     ids = [*flat.field("item_id").to_pylist(), *(known.item_ids[i] for i in item.tolist())]
@@ -201,12 +201,12 @@ def verbatim_matches(
                     matches.append(pa.ListArray.from_arrays(pa.array(cuts), values))
                 if matches:
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column(0), batch.column(1), pa.array(np.concatenate(n_words).astype(np.int64)), pa.array(np.concatenate(n_hit).astype(np.int64)), pa.concat_arrays(matches)],
-                        ["row", "text", "n_words", "n_hit", "matches"],
+                        [batch.column(0), pa.array(np.concatenate(n_words).astype(np.int64)), pa.array(np.concatenate(n_hit).astype(np.int64)), pa.concat_arrays(matches)],
+                        ["row", "n_words", "n_hit", "matches"],
                     )
 
-        rows = rows.mapInArrow(search, f"row {row_kind}, text string, n_words long, n_hit long, matches {MATCHES}")
-    return rows.drop("text")
+        rows = rows.mapInArrow(search, f"row {row_kind}, n_words long, n_hit long, matches {MATCHES}")
+    return rows
 
 
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -166,7 +166,7 @@ def graded(docs: DataFrame, model: CumulativeLink, text_column: str = "text", ke
         known = shared.value
         for batch in batches:
             expected, tail = [np.zeros(0)], [np.zeros(0)]
-            for words, bucket, style in _features(batch.column(1)):
+            for words, bucket, style in _features(batch.column(0).field(text_column)):
                 sums = np.bincount(words.doc, weights=known.weights[bucket], minlength=len(style))
                 position = _scaled(sums, words.counts) + known.weights[style].sum(1)
                 at_least = known.at_least(position)
@@ -174,8 +174,7 @@ def graded(docs: DataFrame, model: CumulativeLink, text_column: str = "text", ke
                 tail.append(at_least[:, 0] if at_least.shape[1] else np.ones(len(style)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(expected)), pa.array(np.concatenate(tail))], ["row", "expected_grade", "tail_probability"])
 
-    rows = docs.select(F.struct("*").alias("row"), docs[text_column].cast("string").alias("text"))
-    found = rows.mapInArrow(score, f"row {docs.schema.simpleString()}, expected_grade double, tail_probability double")
+    found = docs.select(F.struct("*").alias("row")).mapInArrow(score, f"row {docs.schema.simpleString()}, expected_grade double, tail_probability double")
     return found.withColumn("accepted", F.col("tail_probability") >= keep_from)
 
 

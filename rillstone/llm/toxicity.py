@@ -237,7 +237,7 @@ def scored(docs: DataFrame, model: Toxicity, text_column: str = "text") -> DataF
         known, seen = shared.value, {}
         for batch in batches:
             votes, evidence = [], []
-            for _, n, h, row, words in _term_rows(batch.column(1)):
+            for _, n, h, row, words in _term_rows(batch.column(0).field(text_column)):
                 v = vectors(h, row, words, known.vocabulary, known.idf)
                 for k in range(n):
                     term, weight = v.term[v.first[k] : v.first[k + 1]], v.weight[v.first[k] : v.first[k + 1]]
@@ -254,7 +254,7 @@ def scored(docs: DataFrame, model: Toxicity, text_column: str = "text") -> DataF
                     evidence.append(result[1])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(known.calibrated(np.array(votes, float))), pa.array(evidence, pa.list_(kind))], ["row", "score", "evidence"])
 
-    rows = docs.select(F.struct("*").alias("row"), docs[text_column].cast("string").alias("text"))
+    rows = docs.select(F.struct("*").alias("row"))
     return rows.mapInArrow(score, f"row {docs.schema.simpleString()}, score double, evidence array<struct<example:bigint,cosine:double,toxic:int>>")
 
 
