@@ -2,8 +2,8 @@
 
 Labelled examples (at most ``per_label`` of each label, those with the smallest hashes of their
 ids) are the index. Terms are words and their beginnings of 4 to 8 bytes, so that inflected forms
-share a term; among them the terms that are more frequent in toxic examples by a chi-square test
-are kept. A text is a vector of sqrt(percent of its words) * idf over these terms and one
+share a term; among them the terms that are more frequent in toxic examples, by a chi-square test
+and by their share of toxic ones, are kept. A text is a vector of sqrt(percent of its words) * idf over these terms and one
 component for its background, which every text has, so that lone chance words weigh little.
 
 Examples lie in blocks of similar ones. For each term a block has the largest weight of its
@@ -34,6 +34,8 @@ from rillstone.llm.common import crc_remainder, read
 PER_LABEL = 2000
 MAX_TERMS = 2048
 LEAST_CHI2 = 16.0
+#: Least share of toxic examples among those that hold a term.
+LEAST_SHARE = 0.75
 PREFIXES = range(4, 9)
 NEIGHBOURS = 15
 BLOCK = 64
@@ -106,23 +108,24 @@ class BlockMax:
         """The k examples of largest cosine, ties to the smaller number, and their cosines."""
         bound = weight @ self.most[term]
         order = np.argsort(-bound, kind="stable")
-        scores = np.full(self.rows, -1.0)
+        bound = bound[order]
+        scores = np.full(self.blocks * BLOCK, -1.0)
+        k = min(k, self.rows)
         best, done, step = -1.0, 0, max(2, -(-k // BLOCK))
-        while done < self.blocks and bound[order[done]] >= best - TIE:
-            opened = order[done : done + step]
-            opened = opened[bound[opened] >= best - TIE]
-            for block in opened.tolist():
-                own = np.zeros(min(BLOCK, self.rows - block * BLOCK))
-                for t, w in zip(term.tolist(), weight.tolist(), strict=True):
-                    at = t * self.blocks + block
-                    a, b = self.first[at], self.first[at + 1]
-                    if a < b:
-                        own[self.row[a:b] - block * BLOCK] += w * self.weight[a:b]
-                scores[block * BLOCK : block * BLOCK + len(own)] = own
-            done, step = done + step, step * 2
-            best = np.partition(scores, -k)[-k] if self.rows >= k else -1.0
-        rounded = np.round(scores, 9)
-        near = np.lexsort((np.arange(self.rows), -rounded))[:k] if self.rows < 4 * k else _top(rounded, k)
+        while done < self.blocks and bound[done] >= best - TIE:
+            upto = min(done + step, int(np.searchsorted(-bound, -(best - TIE), "right")))
+            opened = order[done:upto]
+            # The lists of all terms in all opened blocks, one after the other.
+            at = (term[:, None] * self.blocks + opened[None, :]).ravel()
+            lengths = self.first[at + 1] - self.first[at]
+            places = arrays.ragged(self.first[at], lengths)
+            part = np.repeat(np.tile(np.arange(len(opened)), len(term)), lengths)
+            amount = self.weight[places] * np.repeat(np.repeat(weight, len(opened)), lengths)
+            sums = np.bincount(part * BLOCK + self.row[places] % BLOCK, weights=amount, minlength=len(opened) * BLOCK)
+            scores.reshape(-1, BLOCK)[opened] = sums.reshape(-1, BLOCK)
+            done, step = upto, step * 2
+            best = np.partition(scores[: self.rows], -k)[-k]
+        near = _top(np.round(scores[: self.rows], 9), k)
         return near, scores[near]
 
 
@@ -194,7 +197,7 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
         return Toxicity(np.zeros(0, np.uint64), np.zeros(0), None, np.zeros(0), [], share=share)
     expected = F.col("n") * (toxic_rows / rows)
     chi2 = (F.col("t") - expected) ** 2 / (expected * (1 - toxic_rows / rows) * (1 - F.col("n") / (rows + 1)))
-    best = frequency.withColumn("chi2", chi2).where((F.col("t") > expected) & (F.col("chi2") >= LEAST_CHI2)).orderBy(F.desc("chi2"), "term").limit(MAX_TERMS).select("term", "n").collect()
+    best = frequency.withColumn("chi2", chi2).where((F.col("t") > expected) & (F.col("t") >= LEAST_SHARE * F.col("n")) & (F.col("chi2") >= LEAST_CHI2)).orderBy(F.desc("chi2"), "term").limit(MAX_TERMS).select("term", "n").collect()
     h = np.array([r["term"] for r in best], np.int64).view(np.uint64)
     order = np.argsort(h)
     vocabulary = h[order]
