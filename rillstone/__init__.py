@@ -5,7 +5,7 @@ streaming frames alike; only ``sources.envelope`` and ``streaming`` know about
 ``readStream`` and ``writeStream``.
 """
 
-from rillstone.layout import LakeLayout, register_views
+from rillstone.layout import LakeLayout, query_lake, register_views
 from rillstone.schemas import BIKE_EVENT, ENVELOPE, TABLES, WEATHER_EVENT, TableSpec
 from rillstone.session import build_session, scratch_dir
 
@@ -17,6 +17,7 @@ __all__ = [
     "LakeLayout",
     "TableSpec",
     "build_session",
+    "query_lake",
     "register_views",
     "scratch_dir",
 ]

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import argparse
 import os
+from datetime import date
 
 from rillstone.layout import LakeLayout
 from rillstone.session import build_session, delta_options, s3a_options
 from rillstone.sources.envelope import EnvelopeFolder, KafkaTopic
-from rillstone.streaming import LakeJob, lake_flows
+from rillstone.streaming import LakeJob, backfill_summaries, lake_flows
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
@@ -22,9 +23,16 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--bike-folder", help="envelope files instead of a topic")
     parser.add_argument("--weather-folder", help="envelope files instead of a topic")
     parser.add_argument("--on-malformed", choices=["drop", "keep"], default="drop")
-    parser.add_argument("--quarantine", action="store_true", help="store refused messages")
+    parser.add_argument(
+        "--quarantine", action=argparse.BooleanOptionalAction, default=True, help="store refused messages"
+    )
+    parser.add_argument("--composed", action="store_true", help="each flow reads its topic, in one plan")
+    parser.add_argument("--summaries-from", type=date.fromisoformat, help="first event date of the summaries")
+    parser.add_argument("--backfill-until", type=date.fromisoformat, help="fill summaries before this date, in batch, and end")
+    parser.add_argument("--backfill-since", type=date.fromisoformat)
+    parser.add_argument("--fail-on-data-loss", action="store_true", help="stop where Kafka offsets are lost")
     parser.add_argument("--watermark", default="15 minutes")
-    parser.add_argument("--every", help="trigger interval, e.g. '2 minutes'")
+    parser.add_argument("--every", default="2 minutes", help="trigger interval; '' runs without pause")
     parser.add_argument("--minute-every", default="30 seconds", help="that of the minute table")
     parser.add_argument("--available-now", action="store_true", help="work off what is there")
     parser.add_argument("--max-bytes-per-trigger", help="bound per batch, reading files")
@@ -50,6 +58,7 @@ def source_for(chosen: argparse.Namespace, topic: str) -> KafkaTopic | EnvelopeF
         chosen.starting,
         max_offsets_per_trigger=chosen.max_offsets_per_trigger,
         min_partitions=chosen.min_partitions,
+        fail_on_data_loss=chosen.fail_on_data_loss,
     )
 
 
@@ -69,13 +78,18 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session(
         master=chosen.master, shuffle_partitions=chosen.shuffle_partitions, extra=extra
     )
+    layout = LakeLayout(chosen.base, chosen.format)
+    if chosen.backfill_until:
+        backfill_summaries(spark, layout, chosen.backfill_until, chosen.backfill_since)
+        return
     job = LakeJob(
         spark,
-        LakeLayout(chosen.base, chosen.format),
+        layout,
         {topic: source_for(chosen, topic) for topic in ("bike", "weather")},
         lake_flows(
             chosen.on_malformed, chosen.quarantine, chosen.watermark,
-            every=chosen.every, minute_every=chosen.minute_every,
+            every=chosen.every or None, minute_every=chosen.minute_every,
+            composed=chosen.composed, summaries_from=chosen.summaries_from,
         ),
         max_bytes_per_trigger=chosen.max_bytes_per_trigger,
     )

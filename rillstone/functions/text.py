@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, TimestampNTZType, TimestampType
+from pyspark.sql.types import DataType, DoubleType, FloatType, TimestampNTZType, TimestampType
 
 
 def iso_utc(column: Column | str) -> Column:
@@ -13,8 +13,10 @@ def iso_utc(column: Column | str) -> Column:
 
 
 def row_text(name: str, data_type: DataType) -> Column:
-    """A column as clients get it: times as text, everything else unchanged."""
+    """A column as clients get it: times as text with any fraction, NaN as null."""
     column = F.col(name)
     if isinstance(data_type, (TimestampType, TimestampNTZType)):
-        column = F.date_format(column, "yyyy-MM-dd HH:mm:ss")
+        column = column.cast("string")
+    elif isinstance(data_type, (DoubleType, FloatType)):
+        column = F.when(~F.isnan(column), column)
     return column.alias(name)

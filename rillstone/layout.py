@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from rillstone.schemas import TABLES, TableSpec
 
@@ -19,6 +19,13 @@ class LakeLayout:
     def table(self, spec: TableSpec) -> str:
         return f"{self.base.rstrip('/')}/{spec.path}"
 
+    def batch_table(self, spec: TableSpec) -> str:
+        """Where batch writes go. Files beside a streaming sink's log would never be read, so
+        they have a folder of their own; a table format with a common log needs none."""
+        if self.fmt == "delta":
+            return self.table(spec)
+        return f"{self.base.rstrip('/')}/_batch/{spec.path}"
+
     def checkpoint(self, spec: TableSpec) -> str:
         return f"{self.base.rstrip('/')}/_checkpoints/{spec.view_name}"
 
@@ -26,9 +33,21 @@ class LakeLayout:
 def register_views(
     spark: SparkSession, layout: LakeLayout, specs: tuple[TableSpec, ...] = TABLES
 ) -> list[str]:
-    """Temp views ``<layer>_<table>`` over the stored tables, for SQL users."""
+    """Temp views ``<layer>_<table>`` over the stored tables, for SQL users.
+
+    A view shows the files of the moment it was registered; register again, or use
+    ``query_lake``, to see later ones. A table that is not there yet is an empty view.
+    """
     from rillstone.sources.tables import read_table
 
     for spec in specs:
-        read_table(spark, layout, spec).createOrReplaceTempView(spec.view_name)
+        read_table(spark, layout, spec, missing_ok=True).createOrReplaceTempView(spec.view_name)
     return [spec.view_name for spec in specs]
+
+
+def query_lake(
+    spark: SparkSession, layout: LakeLayout, text: str, specs: tuple[TableSpec, ...] = TABLES
+) -> DataFrame:
+    """A SQL query over the views as the tables are now."""
+    register_views(spark, layout, specs)
+    return spark.sql(text)

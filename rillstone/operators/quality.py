@@ -25,8 +25,13 @@ def _one_decimal(name: str) -> Column:
     return F.round(name, 1) == F.col(name)
 
 
+def _finite(name: str) -> Column:
+    return ~F.isnan(name) & (F.abs(F.col(name)) != float("inf"))
+
+
 def weather_rules() -> dict[str, Column]:
     return {
+        "finite": _broken_if_false(_finite("temp_c"), _finite("precip_mm"), _finite("wind_kph")),
         "precip_not_negative": F.col("precip_mm") >= 0,
         "wind_not_negative": F.col("wind_kph") >= 0,
         "humidity_in_range": F.col("humidity").between(25, 100),
@@ -35,6 +40,14 @@ def weather_rules() -> dict[str, Column]:
     }
 
 
+def _broken_if_false(*parts: Column) -> Column:
+    """All parts that are known hold."""
+    every = F.lit(True)
+    for part in parts:
+        every = every & F.coalesce(part, F.lit(True))
+    return every
+
+
 def _broken(rule: Column) -> Column:
     return F.coalesce(~rule, F.lit(False))
 

@@ -24,18 +24,22 @@ def _parsed(schema: StructType) -> Column:
     and parses every text a second time there. Filters on generated columns stay above
     the generator, so the struct passes through a one-element ``explode``.
     """
-    options = {"columnNameOfCorruptRecord": _REFUSED} if _REFUSED in schema.names else {}
+    options = {}
+    if _REFUSED in schema.names:
+        options = {"columnNameOfCorruptRecord": _REFUSED, "allowNonNumericNumbers": "false"}
     return F.explode(F.array(F.from_json("value", schema, options))).alias("_event")
 
 
 def _well_formed(required: tuple[str, ...]) -> Column:
-    """The text fitted the schema and names its station (``{}`` fits, but names none).
+    """A JSON object at the start of the text fitted the schema and names its station.
+
+    ``{}`` fits, but names none; a blank name is none.
 
     Never null, so its negation is the exact complement; false where there was no text.
     """
     fits = F.col(f"_event.{_REFUSED}").isNull()
     for name in required:
-        fits = fits & F.col(f"_event.{name}").isNotNull()
+        fits = fits & (F.trim(F.coalesce(F.col(f"_event.{name}"), F.lit(""))) != "")
     return fits
 
 
@@ -49,8 +53,10 @@ def parse_events(
 
     ``on_malformed``:
 
-    * ``"drop"``: only messages whose whole text fits the schema and that carry the
-      ``required`` fields.
+    * ``"drop"``: only messages that begin with a JSON object that fits the schema (NaN and
+      Infinity are no numbers) and carries the ``required`` text fields, not blank. What follows
+      a complete object in the same text is ignored, and an object in place of a text field is
+      taken as its text, both as Spark's reader does.
     * ``"keep"``: every message that has any text; what does not fit becomes null.
 
     ``quarantined`` gives the rest of ``"drop"``. Unreadable times become null, they do

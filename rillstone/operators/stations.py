@@ -48,7 +48,11 @@ STATIONS = (
 
 def station_dim(spark: SparkSession) -> DataFrame:
     """The thirty known stations."""
-    return spark.createDataFrame(list(STATIONS), STATION_SCHEMA)
+    kinds = [part.strip().split(" ") for part in STATION_SCHEMA.split(",")]
+    rows = ", ".join(str(row) for row in STATIONS)
+    casts = ", ".join(f"CAST({name} AS {kind}) AS {name}" for name, kind in kinds)
+    names = ", ".join(name for name, _ in kinds)
+    return spark.sql(f"SELECT {casts} FROM VALUES {rows} AS t({names})")
 
 
 def with_station(

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import re
 from typing import Any
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillstone.functions import row_text
 
+#: The partition of rows without a value.
+_NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
 
 def read_view(
     df: DataFrame,
@@ -31,7 +35,8 @@ def read_view(
       first n of each task and merges those, it does not sort the table.
     * ``newest_partitions`` names a partition column that never falls as ``order_by``
       rises. A descending, limited read then opens only the newest partitions that
-      together hold n rows (see ``_newest``); the result is the same.
+      together hold n rows (see ``_newest``); the result is the same. Small counts run when
+      the view is made. The ``recent_*`` views do so by ``dt`` unless told otherwise.
     """
     known = set(df.columns)
     asked = [*(columns or []), *(filters or {}), *([order_by] if order_by else [])]
@@ -59,22 +64,24 @@ def read_view(
 def _newest(df: DataFrame, partition: str, limit: int) -> DataFrame:
     """Only the newest partitions that together hold ``limit`` rows.
 
-    Rows are counted per partition value, which on a columnar table needs file footers
-    and no column data; the oldest value still needed becomes a scalar subquery in the
-    scan's partition filter. If the values do not add up to ``limit``, nothing is cut.
-    The running total goes over one row per partition value (per day), not over events.
+    The partition values are read from the file names that planning lists anyway. Rows of
+    the newest date are counted, then of the newest two, four and so on, until there are
+    enough: only the files of those dates are opened. The oldest value needed becomes a
+    literal in the scan's partition filter. A frame whose files lie in no such partitions,
+    or that holds fewer rows, is not cut.
     """
-    counts = df.groupBy(partition).agg(F.count(F.lit(1)).alias("n"))
-    later = Window.orderBy(F.col(partition).desc_nulls_last()).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    cutoff = (
-        counts.withColumn("held", F.sum("n").over(later))
-        .where(F.col("held") >= limit)
-        .agg(F.max(partition))
-        .scalar()
-    )
-    return df.where(F.coalesce(F.col(partition) >= cutoff, cutoff.isNull()))
+    mark = re.compile(rf"/{re.escape(partition)}=([^/]+)/")
+    values = sorted({m[1] for m in map(mark.search, df.inputFiles()) if m and m[1] != _NO_VALUE}, reverse=True)
+    look_back = 1
+    while values:
+        cutoff = values[min(look_back, len(values)) - 1]
+        newest = df.where(F.col(partition) >= F.lit(cutoff).cast(df.schema[partition].dataType))
+        if newest.limit(limit).count() >= limit:
+            return newest
+        if look_back >= len(values):
+            break
+        look_back *= 2
+    return df
 
 
 def _recent(
@@ -98,6 +105,7 @@ def _recent(
     )
 
 
+# Fixed: columns and order of the five read views.
 _BIKE = [
     "event_time", "dt", "station_id", "bike_city", "docks_total", "docks_available",
     "bikes_available", "bikes_occupied",
@@ -124,7 +132,7 @@ def recent_bike(
     silver: DataFrame,
     station_id: str | None = None,
     limit: int = 100,
-    newest_partitions: str | None = None,
+    newest_partitions: str | None = "dt",
 ) -> DataFrame:
     """Newest bike events, at most 5000."""
     return _recent(silver, _BIKE, "event_time", 5000, station_id, limit, newest_partitions)
@@ -134,7 +142,7 @@ def recent_weather(
     silver: DataFrame,
     station_id: str | None = None,
     limit: int = 100,
-    newest_partitions: str | None = None,
+    newest_partitions: str | None = "dt",
 ) -> DataFrame:
     """Newest weather events, at most 5000."""
     return _recent(silver, _WEATHER, "event_time", 5000, station_id, limit, newest_partitions)
@@ -144,7 +152,7 @@ def recent_bike_minute(
     gold: DataFrame,
     station_id: str | None = None,
     limit: int = 200,
-    newest_partitions: str | None = None,
+    newest_partitions: str | None = "dt",
 ) -> DataFrame:
     """Newest minutes of bike counts, at most 10000; the window start is ``minute``."""
     named = gold.withColumnRenamed("window_start", "minute")
@@ -155,7 +163,7 @@ def recent_bike_hourly(
     gold: DataFrame,
     station_id: str | None = None,
     limit: int = 200,
-    newest_partitions: str | None = None,
+    newest_partitions: str | None = "dt",
 ) -> DataFrame:
     """Newest hours of bike usage, at most 10000."""
     return _recent(gold, _BIKE_HOURLY, "window_start", 10000, station_id, limit, newest_partitions)
@@ -165,7 +173,7 @@ def recent_weather_hourly(
     gold: DataFrame,
     station_id: str | None = None,
     limit: int = 200,
-    newest_partitions: str | None = None,
+    newest_partitions: str | None = "dt",
 ) -> DataFrame:
     """Newest hours of weather, at most 10000."""
     return _recent(

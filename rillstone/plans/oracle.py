@@ -237,6 +237,7 @@ _BIKE_COUNTS = f"""
 _WEATHER_COUNTS = f"""
     WITH {_FAULTY_WEATHER}
     SELECT station_id, count(*) AS n_rows,
+           CAST(0 AS BIGINT) AS finite,
            count(*) FILTER (r1) AS precip_not_negative,
            count(*) FILTER (r2) AS wind_not_negative,
            count(*) FILTER (r3) AS humidity_in_range,
@@ -273,6 +274,36 @@ _RECENT_WEATHER_HOURLY = [
     "sum_precip_mm_hour", "avg_humidity_hour", "avg_wind_kph_hour", "avg_pressure_mb_hour",
 ]
 
+_MALFORMED_WEATHER_DROP = f"""
+    WITH {_WEATHER}, kinds AS (SELECT *, {_KIND} AS kind FROM weather)
+    SELECT {_WEATHER_COLUMNS} FROM kinds WHERE kind = -1
+    UNION ALL
+    SELECT 'S001', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM kinds WHERE kind = 6"""
+_MALFORMED_WEATHER_QUARANTINE = (
+    _MALFORMED_QUARANTINE.replace(_BIKE, _WEATHER)
+    .replace("'bike' AS topic", "'weather' AS topic")
+    .replace("FROM bike WHERE event_id % 7 = 0", "FROM weather WHERE event_id % 7 = 0 AND (event_id // 7) % 7 <> 6")
+)
+# Names the rules by what breaks them: NaN is greater than all numbers and equal to itself.
+_NONFINITE_COUNTS = f"""
+    WITH {_WEATHER}, faulty AS (
+        SELECT *, event_id % 7 = 3 OR event_id % 5 = 1 AS odd FROM weather)
+    SELECT station_id, count(*) AS n_rows, count(*) FILTER (odd) AS finite,
+           CAST(0 AS BIGINT) AS precip_not_negative, CAST(0 AS BIGINT) AS wind_not_negative,
+           CAST(0 AS BIGINT) AS humidity_in_range, CAST(0 AS BIGINT) AS one_decimal,
+           CAST(0 AS BIGINT) AS known_condition
+    FROM faulty GROUP BY station_id"""
+
+
+def _json(rows: str, columns: list[str]) -> str:
+    times = {"event_time": "%Y-%m-%d %H:%M:%S", "minute": "%Y-%m-%d %H:%M:%S", "dt": "%Y-%m-%d"}
+    times |= {"window_start": times["minute"], "window_end": times["minute"]}
+    fields = ", ".join(
+        f"{c} := strftime({c}, '{times[c]}')" if c in times else f"{c} := {c}" for c in columns
+    )
+    return f"SELECT to_json(struct_pack({fields}))::VARCHAR AS json FROM ({rows})"
+
+
 ORACLE: dict[str, str] = {
     "bronze_bike": _BRONZE_BIKE,
     "bronze_weather": _BRONZE_WEATHER,
@@ -362,4 +393,43 @@ ORACLE: dict[str, str] = {
     "stream_weather_hourly": _weather_summary("hour", closed_only=True),
     "stream_weather_daily": _weather_summary("day", closed_only=True),
     "stream_quarantine": _MALFORMED_QUARANTINE,
+    "malformed_weather_drop": _MALFORMED_WEATHER_DROP,
+    "malformed_weather_quarantine": _MALFORMED_WEATHER_QUARANTINE,
+    "weather_nonfinite_counts": _NONFINITE_COUNTS,
+    "bronze_json_rows": f"""
+    WITH {_BIKE}, rows AS (
+        SELECT station_id AS key, event_id AS "offset",
+               strftime(ts + to_microseconds(event_id % 1000000), '%Y-%m-%d %H:%M:%S.%f') AS long
+        FROM bike)
+    SELECT to_json(struct_pack(key := key, "offset" := "offset",
+               kafka_timestamp := regexp_replace(rtrim(long, '0'), '\\.$', '')))::VARCHAR AS json
+    FROM rows""",
+    "table_recent_weather": _recent(_SILVER_WEATHER, _RECENT_WEATHER, "event_time", 500),
+    "table_compacted": _SILVER_WEATHER,
+    "table_batch_then_stream": f"""
+    SELECT * REPLACE (round(availability_rate, 9) AS availability_rate,
+                      round(utilization_rate, 9) AS utilization_rate) FROM ({_SILVER_BIKE})""",
+    "sql_after_append": f"""
+    WITH {_BIKE}
+    SELECT station_id, hour(event_time)::INT AS hr, count(*) AS n_rows, CAST(0 AS BIGINT) AS refused
+    FROM bike GROUP BY ALL""",
+    "stream_bike_daily_bounded": _bike_usage("day", closed_only=True),
+    "stream_weather_hourly_bounded": _weather_summary("hour", closed_only=True),
+    "stream_bike_daily_backfilled": _bike_usage("day", closed_only=True),
+    "stream_bike_hourly_composed": _bike_usage("hour", closed_only=True),
+    "stream_quarantine_weather": _MALFORMED_WEATHER_QUARANTINE,
+    # The late rows are events that were counted before: the result is that without them.
+    "stream_late_rows": _bike_usage("day", closed_only=True),
+}
+ORACLE |= {
+    f"table_{view}": ORACLE[view]
+    for view in ("recent_bike_minute", "recent_bike_hourly", "recent_weather_hourly")
+}
+_SHOWN = {
+    "recent_bike": _RECENT_BIKE,
+    "recent_weather": _RECENT_WEATHER,
+    "recent_bike_minute": _RECENT_MINUTE,
+    "recent_bike_hourly": _RECENT_BIKE_HOURLY,
+    "recent_weather_hourly": _RECENT_WEATHER_HOURLY,
 }
+ORACLE |= {f"{view}_json": _json(ORACLE[view], shown) for view, shown in _SHOWN.items()}

@@ -17,17 +17,18 @@ from pyspark.sql.types import DoubleType
 from rillstone import operators as op
 from rillstone import schemas as S
 from rillstone.functions import classify_condition
-from rillstone.layout import LakeLayout, register_views
+from rillstone.layout import LakeLayout, query_lake, register_views
 from rillstone.operators.quality import bike_rules, weather_rules
 from rillstone.session import scratch_dir
 from rillstone.sources import (
     EnvelopeFolder,
     publish,
     read_table,
+    rewrite_compact,
     staging,
     write_table,
 )
-from rillstone.streaming import LakeJob, lake_flows
+from rillstone.streaming import LakeJob, backfill_summaries, lake_flows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +36,9 @@ QUERIES: dict[str, Query] = {}
 
 INGEST_TIME = "2024-02-01 00:00:00"
 RETENTION_AS_OF = date(2024, 2, 5)
+BACKFILL_UNTIL = date(2024, 1, 20)
+LATE_FROM = date(2024, 1, 21)
+CLOSED_BEFORE = date(2024, 1, 19)
 
 
 def query(build: Query) -> Query:
@@ -124,6 +128,21 @@ def malformed_quarantine(spark, sf_dir):
     return op.quarantined(_broken_bike_bronze(spark, sf_dir), S.BIKE_EVENT)
 
 
+def _broken_weather_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    envelope = staging.weather_envelope(staging.read_events(spark, sf_dir))
+    return _bronze(staging.with_broken_texts(envelope))
+
+
+@query
+def malformed_weather_drop(spark, sf_dir):
+    return op.weather_silver(_broken_weather_bronze(spark, sf_dir), "drop")
+
+
+@query
+def malformed_weather_quarantine(spark, sf_dir):
+    return op.quarantined(_broken_weather_bronze(spark, sf_dir), S.WEATHER_EVENT)
+
+
 # ---- window summaries ------------------------------------------------------------
 
 
@@ -239,6 +258,20 @@ def weather_violation_counts(spark, sf_dir):
     return op.violation_counts(_faulty_weather(spark, sf_dir), weather_rules(), ["station_id"])
 
 
+@query
+def weather_nonfinite_counts(spark, sf_dir):
+    """Readings that are no numbers: kept as read, and counted by the ``finite`` rule."""
+    readings = staging.weather_readings(staging.read_events(spark, sf_dir))
+    n = F.col("offset")
+    readings = readings.withColumn(
+        "temp_c", F.when(n % 7 == 3, F.lit(float("nan"))).otherwise(F.col("temp_c"))
+    ).withColumn(
+        "wind_kph", F.when(n % 5 == 1, F.lit(float("inf"))).otherwise(F.col("wind_kph"))
+    )
+    bronze = _bronze(staging.enveloped(readings, "weather", S.WEATHER_EVENT.names))
+    return op.violation_counts(op.weather_silver(bronze, "keep"), weather_rules(), ["station_id"])
+
+
 # ---- client reads ----------------------------------------------------------------
 
 
@@ -304,6 +337,34 @@ def oldest_hours_one_station(spark, sf_dir):
     )
 
 
+def _json(view: str, frame) -> None:
+    """Register ``<view>_json``: the rows of a read view as clients get them."""
+
+    def build(spark, sf_dir):
+        return op.as_json_rows(_rounded(getattr(op, view)(frame(spark, sf_dir))))
+
+    build.__name__ = f"{view}_json"
+    query(build)
+
+
+_json("recent_bike", _bike)
+_json("recent_weather", _weather)
+_json("recent_bike_minute", lambda spark, sf_dir: op.bike_minute(_bike(spark, sf_dir)))
+_json("recent_bike_hourly", lambda spark, sf_dir: op.bike_usage(_bike(spark, sf_dir), "hour"))
+_json(
+    "recent_weather_hourly",
+    lambda spark, sf_dir: op.weather_summary(_weather(spark, sf_dir), "hour"),
+)
+
+
+@query
+def bronze_json_rows(spark, sf_dir):
+    """Broker times with fractions of a second."""
+    bronze = _bike_bronze(spark, sf_dir)
+    micros = F.timestamp_micros(F.unix_micros("kafka_timestamp") + F.col("offset") % 1_000_000)
+    return op.as_json_rows(bronze.select("key", "offset", micros.alias("kafka_timestamp")))
+
+
 # ---- stored tables ---------------------------------------------------------------
 
 
@@ -312,8 +373,80 @@ def table_recent_bike(spark, sf_dir):
     """Write the silver table in batch; the read opens only the newest partitions."""
     layout = LakeLayout(scratch_dir(spark, "table_recent_bike"))
     write_table(_bike(spark, sf_dir), layout, S.SILVER_BIKE)
-    return op.recent_bike(
-        read_table(spark, layout, S.SILVER_BIKE), limit=500, newest_partitions="dt"
+    return op.recent_bike(read_table(spark, layout, S.SILVER_BIKE), limit=500)
+
+
+def _stored(spark, name: str, rows: DataFrame, spec: S.TableSpec) -> DataFrame:
+    layout = LakeLayout(scratch_dir(spark, name))
+    write_table(rows, layout, spec)
+    return read_table(spark, layout, spec)
+
+
+@query
+def table_recent_weather(spark, sf_dir):
+    stored = _stored(spark, "table_recent_weather", _weather(spark, sf_dir), S.SILVER_WEATHER)
+    return op.recent_weather(stored, limit=500)
+
+
+@query
+def table_recent_bike_minute(spark, sf_dir):
+    rows = op.bike_minute(_bike(spark, sf_dir))
+    return op.recent_bike_minute(_stored(spark, "table_recent_minute", rows, S.GOLD_BIKE_MINUTE))
+
+
+@query
+def table_recent_bike_hourly(spark, sf_dir):
+    rows = op.bike_usage(_bike(spark, sf_dir), "hour")
+    return _rounded(
+        op.recent_bike_hourly(_stored(spark, "table_recent_hourly", rows, S.GOLD_BIKE_HOURLY))
+    )
+
+
+@query
+def table_recent_weather_hourly(spark, sf_dir):
+    rows = op.weather_summary(_weather(spark, sf_dir), "hour")
+    stored = _stored(spark, "table_recent_weather_hourly", rows, S.GOLD_WEATHER_HOURLY)
+    return _rounded(op.recent_weather_hourly(stored))
+
+
+@query
+def table_compacted(spark, sf_dir):
+    """A table of many small files, copied with few."""
+    layout = LakeLayout(scratch_dir(spark, "table_compacted"))
+    source, target = LakeLayout(f"{layout.base}/small"), LakeLayout(f"{layout.base}/few")
+    for turn in range(3):
+        write_table(_weather(spark, sf_dir).where(F.pmod("pressure_mb", F.lit(3)) == turn), source, S.SILVER_WEATHER)
+    rewrite_compact(spark, source, target, S.SILVER_WEATHER)
+    return read_table(spark, target, S.SILVER_WEATHER)
+
+
+@query
+def table_batch_then_stream(spark, sf_dir):
+    """Half of the rows written in batch, half by a stream, in one table."""
+    layout = LakeLayout(scratch_dir(spark, "table_batch_then_stream"))
+    even = staging.read_events(spark, sf_dir).where("event_id % 2 = 0")
+    odd = staging.stream_events(spark, sf_dir).where("event_id % 2 = 1")
+    write_table(op.bike_silver(_bronze(staging.bike_envelope(even))), layout, S.SILVER_BIKE)
+    _job(spark, layout, {"bike": staging.bike_envelope(odd)}).run_available([S.SILVER_BIKE])
+    return _rounded(read_table(spark, layout, S.SILVER_BIKE))
+
+
+@query
+def sql_after_append(spark, sf_dir):
+    """Views over a partly filled lake; rows appended later are in the next query."""
+    layout = LakeLayout(scratch_dir(spark, "sql_after_append"))
+    bike = _bike(spark, sf_dir)
+    write_table(bike.where("bikes_available % 2 = 0"), layout, S.SILVER_BIKE)
+    register_views(spark, layout)
+    write_table(bike.where("bikes_available % 2 = 1"), layout, S.SILVER_BIKE)
+    return query_lake(
+        spark,
+        layout,
+        """
+        SELECT station_id, hour(event_time) AS hr, count(*) AS n_rows,
+               (SELECT count(*) FROM quarantine_bike) AS refused
+        FROM silver_bike_events GROUP BY station_id, hr
+        """,
     )
 
 
@@ -355,10 +488,9 @@ def _streamed(spark: SparkSession, sf_dir: str, spec: S.TableSpec, replay: bool
     base = scratch_dir(spark, f"stream_{spec.name}")
     layout = LakeLayout(f"{base}/lake")
     if replay:
-        events = staging.read_events(spark, sf_dir)
-        sources = {t: EnvelopeFolder(f"{base}/topics/{t}") for t in ("bike", "weather")}
-        publish(staging.bike_envelope(events), sources["bike"])
-        publish(staging.weather_envelope(events), sources["weather"])
+        topic = "bike" if "bike" in spec.name else "weather"
+        sources = {topic: EnvelopeFolder(f"{base}/topics/{topic}")}
+        _publish(spark, sf_dir, sources)
     else:
         events = staging.stream_events(spark, sf_dir)
         sources = {
@@ -369,6 +501,104 @@ def _streamed(spark: SparkSession, sf_dir: str, spec: S.TableSpec, replay: bool
     return _rounded(read_table(spark, layout, spec))
 
 
+def _publish(spark: SparkSession, sf_dir: str, sources: dict, files: int | None = None) -> None:
+    events = staging.read_events(spark, sf_dir)
+    if files:
+        events = events.repartition(files, "event_id")
+    make = {"bike": staging.bike_envelope, "weather": staging.weather_envelope}
+    for topic, folder in sources.items():
+        publish(make[topic](events), folder)
+
+
+def _bounded(spark: SparkSession, sf_dir: str, spec: S.TableSpec, topic: str, cut: date | None = None):
+    """Many unordered files per topic, worked off in bounded batches, with more shuffle partitions
+    than cores. With ``cut``, earlier dates are filled in batch and the stream starts there."""
+    base = scratch_dir(spark, f"bounded_{spec.name}")
+    layout = LakeLayout(f"{base}/lake")
+    sources = {topic: EnvelopeFolder(f"{base}/topics/{topic}", max_files_per_trigger=4)}
+    _publish(spark, sf_dir, sources, files=12)
+    job = LakeJob(
+        spark,
+        layout,
+        sources,
+        lake_flows(ingest_time=_ingest_time(), summaries_from=cut),
+        max_files_per_trigger=200,
+        shuffle_partitions=2 * spark.sparkContext.defaultParallelism,
+    )
+    if cut:
+        silver = S.SILVER_BIKE if topic == "bike" else S.SILVER_WEATHER
+        job.run_available([silver])
+        backfill_summaries(spark, layout, cut, only=(spec,))
+    late = job.run_available([spec])[spec.view_name]["late_rows_dropped"]
+    if late:
+        raise AssertionError(f"{late} late rows")
+    return _rounded(read_table(spark, layout, spec))
+
+
+@query
+def stream_bike_daily_bounded(spark, sf_dir):
+    return _bounded(spark, sf_dir, S.GOLD_BIKE_DAILY, "bike")
+
+
+@query
+def stream_weather_hourly_bounded(spark, sf_dir):
+    return _bounded(spark, sf_dir, S.GOLD_WEATHER_HOURLY, "weather")
+
+
+@query
+def stream_bike_daily_backfilled(spark, sf_dir):
+    return _bounded(spark, sf_dir, S.GOLD_BIKE_DAILY, "bike", BACKFILL_UNTIL)
+
+
+@query
+def stream_bike_hourly_composed(spark, sf_dir):
+    """Topic to summary in one plan."""
+    layout = LakeLayout(f"{scratch_dir(spark, 'stream_composed')}/lake")
+    events = staging.stream_events(spark, sf_dir)
+    job = LakeJob(
+        spark,
+        layout,
+        {"bike": staging.bike_envelope(events)},
+        lake_flows(ingest_time=_ingest_time(), composed=True),
+        shuffle_partitions=spark.sparkContext.defaultParallelism,
+    )
+    job.run_available([S.GOLD_BIKE_HOURLY])
+    return _rounded(read_table(spark, layout, S.GOLD_BIKE_HOURLY))
+
+
+@query
+def stream_quarantine_weather(spark, sf_dir):
+    """Malformed weather messages of a stream, routed to their own table."""
+    layout = LakeLayout(f"{scratch_dir(spark, 'stream_quarantine_weather')}/lake")
+    envelope = staging.with_broken_texts(
+        staging.weather_envelope(staging.stream_events(spark, sf_dir))
+    )
+    _job(spark, layout, {"weather": envelope}).run_available([S.QUARANTINE_WEATHER])
+    return read_table(spark, layout, S.QUARANTINE_WEATHER)
+
+
+@query
+def stream_late_rows(spark, sf_dir):
+    """Two files read in turn: what comes a batch after its window closed is dropped.
+
+    Events of the first 20 days come first, then the others with every third event of the
+    first days again: their windows have closed, so the summary must not count them.
+    """
+    base = scratch_dir(spark, "stream_late_rows")
+    layout = LakeLayout(f"{base}/lake")
+    folder = EnvelopeFolder(f"{base}/topics/bike")
+    events = staging.read_events(spark, sf_dir)
+    early = F.col("ts") < F.lit(LATE_FROM.isoformat()).cast("timestamp_ntz")
+    flows = lake_flows(ingest_time=_ingest_time(), composed=True)
+    job = LakeJob(spark, layout, {"bike": folder}, flows, shuffle_partitions=spark.sparkContext.defaultParallelism)
+    publish(staging.bike_envelope(events.where(early)), folder)
+    job.run_available([S.GOLD_BIKE_DAILY])
+    again = events.where(early & (F.col("event_id") % 3 == 0) & (F.col("ts") < F.lit(CLOSED_BEFORE.isoformat()).cast("timestamp_ntz")))
+    publish(staging.bike_envelope(events.where(~early).union(again)), folder)
+    job.run_available([S.GOLD_BIKE_DAILY])
+    return _rounded(read_table(spark, layout, S.GOLD_BIKE_DAILY))
+
+
 @query
 def stream_bronze_bike(spark, sf_dir):
     return _streamed(spark, sf_dir, S.BRONZE_BIKE, replay=True)

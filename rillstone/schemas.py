@@ -161,8 +161,9 @@ class TableSpec:
     * ``"hash"``: shuffle by the partition columns. Only for aggregate output, whose
       rows per partition are bounded by windows per day, not by events.
 
-    ``spread_by`` / ``spread`` divide one partition among ``spread`` writers by a hash
-    of the named columns, for ``"hash"`` tables whose partitions hold every station.
+    ``spread_by`` divides one partition among several writers by a hash of the named
+    columns, for ``"hash"`` tables whose partitions hold every station. The writers are a
+    quarter of the session's shuffle partitions.
     """
 
     layer: str
@@ -171,7 +172,6 @@ class TableSpec:
     partitions: tuple[str, ...]
     clustering: str = "none"
     spread_by: tuple[str, ...] = ()
-    spread: int = 1
 
     @property
     def path(self) -> str:
@@ -199,7 +199,7 @@ GOLD_WEATHER_DAILY = TableSpec(
     "gold", "weather_daily", _weather_summary("day"), _DAY_STATION, "hash"
 )
 GOLD_BIKE_MINUTE = TableSpec(
-    "gold", "bike_minute", _BIKE_MINUTE, ("dt",), "hash", ("station_id",), 8
+    "gold", "bike_minute", _BIKE_MINUTE, ("dt",), "hash", ("station_id",)
 )
 
 # Optional side tables: what strict parsing refused, with its raw text.
@@ -216,4 +216,6 @@ TABLES: tuple[TableSpec, ...] = (
     GOLD_WEATHER_HOURLY,
     GOLD_WEATHER_DAILY,
     GOLD_BIKE_MINUTE,
+    QUARANTINE_BIKE,
+    QUARANTINE_WEATHER,
 )

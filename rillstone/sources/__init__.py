@@ -9,6 +9,7 @@ from rillstone.sources.tables import (
     arrange,
     ensure_table,
     read_table,
+    rewrite_compact,
     stream_table,
     write_table,
 )
@@ -21,6 +22,7 @@ __all__ = [
     "publish",
     "read_envelope_stream",
     "read_table",
+    "rewrite_compact",
     "stream_table",
     "to_envelope",
     "write_table",

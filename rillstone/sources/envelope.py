@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from rillstone.schemas import ENVELOPE
 
 
+#: Files older than this before the newest one read are skipped: none are.
+MAX_FILE_AGE = "36500d"
+
+
 @dataclass(frozen=True)
 class KafkaTopic:
     """One topic. Needs the Spark Kafka connector on the class path.
@@ -56,7 +60,7 @@ class EnvelopeFolder:
     fmt: str = "parquet"
     max_files_per_trigger: int | None = None
     max_bytes_per_trigger: str | None = None
-    max_file_age: str = "36500d"
+    max_file_age: str = MAX_FILE_AGE
 
     def read_options(self) -> dict[str, str]:
         chosen = {"maxFileAge": self.max_file_age}

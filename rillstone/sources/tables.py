@@ -2,19 +2,48 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+from datetime import date
+from functools import reduce
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillstone.layout import LakeLayout
 from rillstone.schemas import TableSpec
+from rillstone.sources.envelope import MAX_FILE_AGE
+
+
+def _paths(layout: LakeLayout, spec: TableSpec) -> list[str]:
+    """The table's folders: of streams, and of batch writes."""
+    return list(dict.fromkeys([layout.table(spec), layout.batch_table(spec)]))
 
 
-def read_table(spark: SparkSession, layout: LakeLayout, spec: TableSpec) -> DataFrame:
-    """Snapshot of a table with its declared columns, types and column order."""
+def read_table(
+    spark: SparkSession, layout: LakeLayout, spec: TableSpec, missing_ok: bool = False
+) -> DataFrame:
+    """Snapshot of a table with its declared columns, types and column order.
+
+    Rows written by streams and rows written in batch are one table. A table that is in
+    neither folder is an error, or empty with ``missing_ok``.
+    """
     reader = spark.read.format(layout.fmt)
     if layout.fmt != "delta":
         reader = reader.schema(spec.schema)
-    return reader.load(layout.table(spec)).select(*spec.schema.names)
+    parts, missing = [], None
+    for path in _paths(layout, spec):
+        try:
+            parts.append(reader.load(path).select(*spec.schema.names))
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND" and "is not a Delta table" not in str(error):
+                raise
+            missing = error
+    if parts:
+        return reduce(DataFrame.unionAll, parts)
+    if missing_ok:
+        return spark.createDataFrame([], spec.schema)
+    raise missing
 
 
 def stream_table(
@@ -24,15 +53,19 @@ def stream_table(
     max_files_per_trigger: int | None = None,
     max_bytes_per_trigger: str | None = None,
 ) -> DataFrame:
-    """The table as an unbounded frame: what is there now, then every later append."""
+    """The table as an unbounded frame: what is there now, then every later append.
+
+    Follows appends by streams and in batch. No file is skipped for its age.
+    """
     reader = spark.readStream.format(layout.fmt)
     if layout.fmt != "delta":
-        reader = reader.schema(spec.schema)
+        reader = reader.schema(spec.schema).option("maxFileAge", MAX_FILE_AGE)
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if max_bytes_per_trigger is not None:
         reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
-    return reader.load(layout.table(spec)).select(*spec.schema.names)
+    parts = [reader.load(path).select(*spec.schema.names) for path in _paths(layout, spec)]
+    return reduce(DataFrame.unionAll, parts)
 
 
 def arrange(df: DataFrame, spec: TableSpec) -> DataFrame:
@@ -46,8 +79,9 @@ def arrange(df: DataFrame, spec: TableSpec) -> DataFrame:
     if spec.clustering == "rebalance":
         return df.hint("rebalance", *columns)
     if spec.clustering == "hash":
-        if spec.spread > 1:
-            columns.append(F.pmod(F.xxhash64(*spec.spread_by), F.lit(spec.spread)))
+        if spec.spread_by:
+            writers = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4
+            columns.append(F.pmod(F.xxhash64(*spec.spread_by), F.lit(max(1, writers))))
         return df.repartition(*columns)
     return df
 
@@ -59,16 +93,39 @@ def write_table(df: DataFrame, layout: LakeLayout, spec: TableSpec, mode: str =
         .write.mode(mode)
         .format(layout.fmt)
         .partitionBy(*spec.partitions)
-        .save(layout.table(spec))
+        .save(layout.batch_table(spec))
     )
 
 
+def rewrite_compact(
+    spark: SparkSession,
+    source: LakeLayout,
+    target: LakeLayout,
+    spec: TableSpec,
+    since: date | None = None,
+    until: date | None = None,
+) -> None:
+    """Copy closed dates (``since`` <= dt < ``until``) into another layout with few files.
+
+    Each date and station comes together in one shuffle partition, or in several of the
+    advisory size where it is larger, and so in as many files. The source stays as it is:
+    streams that read or write it are not disturbed. Run it once per date.
+    """
+    rows = read_table(spark, source, spec)
+    if since is not None:
+        rows = rows.where(F.col("dt") >= F.lit(since))
+    if until is not None:
+        rows = rows.where(F.col("dt") < F.lit(until))
+    write_table(rows, target, replace(spec, clustering="rebalance"))
+
+
 def ensure_table(spark: SparkSession, layout: LakeLayout, spec: TableSpec) -> None:
     """Create an empty table where none exists, so a stream may start reading it."""
-    (
-        spark.createDataFrame([], spec.schema)
-        .write.mode("ignore")
-        .format(layout.fmt)
-        .partitionBy(*spec.partitions)
-        .save(layout.table(spec))
-    )
+    for path in _paths(layout, spec):
+        (
+            spark.createDataFrame([], spec.schema)
+            .write.mode("ignore")
+            .format(layout.fmt)
+            .partitionBy(*spec.partitions)
+            .save(path)
+        )

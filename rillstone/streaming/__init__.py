@@ -1,5 +1,6 @@
+from rillstone.streaming.backfill import backfill_summaries
 from rillstone.streaming.flows import Flow, lake_flows
 from rillstone.streaming.job import FlowFailed, LakeJob
 from rillstone.streaming.writer import write_table_stream
 
-__all__ = ["Flow", "FlowFailed", "LakeJob", "lake_flows", "write_table_stream"]
+__all__ = ["Flow", "FlowFailed", "LakeJob", "backfill_summaries", "lake_flows", "write_table_stream"]

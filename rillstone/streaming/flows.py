@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, replace
+from datetime import date
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from rillstone import schemas as S
 from rillstone.operators.bronze import to_bronze
@@ -15,52 +17,71 @@ from rillstone.operators.silver import bike_silver, quarantined, weather_silver
 
 @dataclass(frozen=True)
 class Flow:
-    """``source`` is a topic name, or the table whose appends are followed."""
+    """``source`` is a topic name, or the table whose appends are followed.
+
+    ``summary`` marks flows whose windows close: they take all that is there in one batch,
+    since a bounded batch in file order would close windows whose rows are still to come.
+    """
 
     source: str | S.TableSpec
     target: S.TableSpec
     transform: Callable[[DataFrame], DataFrame]
     every: str | None = None
+    summary: bool = False
 
 
 def lake_flows(
     on_malformed: str = "drop",
-    quarantine: bool = False,
+    quarantine: bool = True,
     watermark: str = WATERMARK,
     ingest_time: Column | None = None,
-    every: str | None = None,
+    every: str | None = "2 minutes",
     minute_every: str | None = "30 seconds",
+    composed: bool = False,
+    summaries_from: date | None = None,
 ) -> tuple[Flow, ...]:
     """The nine flows: topic to bronze, bronze to silver, silver to the five summaries.
 
-    Each layer follows the stored layer below, so the source is read twice (once per
+    By default each layer follows the stored layer below, so the source is read twice (once per
     topic) and each text is parsed once, however many summaries there are. With
     ``quarantine`` two more flows read bronze and store what strict parsing refuses, each
     at the price of a second parse. ``every`` is the
-    trigger interval of all flows but the minute table's; each micro-batch adds at least
-    one file per table partition it touches, so a longer interval means fewer, larger files.
+    trigger interval of all flows but the minute table's (None: without pause); each
+    micro-batch adds at least one file per table partition it touches, so a longer interval
+    means fewer, larger files.
+
+    With ``composed`` every flow reads its topic and does all steps to its table in one plan:
+    texts are parsed once per table, but no flow follows a file sink, whose list of files the
+    driver reads again for each batch. ``summaries_from`` leaves event dates before it to
+    ``backfill_summaries``.
     """
 
     def land(envelope: DataFrame) -> DataFrame:
         return to_bronze(envelope, ingest_time)
 
+    def bike(df: DataFrame) -> DataFrame:
+        return bike_silver(df, on_malformed)
+
+    def weather(df: DataFrame) -> DataFrame:
+        return weather_silver(df, on_malformed)
+
+    def later(df: DataFrame) -> DataFrame:
+        return df if summaries_from is None else df.where(F.col("dt") >= F.lit(summaries_from))
+
     flows = [
         Flow("bike", S.BRONZE_BIKE, land),
         Flow("weather", S.BRONZE_WEATHER, land),
-        Flow(S.BRONZE_BIKE, S.SILVER_BIKE, lambda df: bike_silver(df, on_malformed)),
-        Flow(S.BRONZE_WEATHER, S.SILVER_WEATHER, lambda df: weather_silver(df, on_malformed)),
-        Flow(S.SILVER_BIKE, S.GOLD_BIKE_HOURLY, lambda df: bike_usage(df, "hour", watermark)),
-        Flow(S.SILVER_BIKE, S.GOLD_BIKE_DAILY, lambda df: bike_usage(df, "day", watermark)),
-        Flow(
-            S.SILVER_WEATHER, S.GOLD_WEATHER_HOURLY,
-            lambda df: weather_summary(df, "hour", watermark),
-        ),
-        Flow(
-            S.SILVER_WEATHER, S.GOLD_WEATHER_DAILY,
-            lambda df: weather_summary(df, "day", watermark),
-        ),
-        Flow(
-            S.SILVER_BIKE, S.GOLD_BIKE_MINUTE, lambda df: bike_minute(df, watermark), minute_every
+        Flow(S.BRONZE_BIKE, S.SILVER_BIKE, bike),
+        Flow(S.BRONZE_WEATHER, S.SILVER_WEATHER, weather),
+        *(
+            Flow(source, target, lambda df, make=make: make(later(df)), interval, summary=True)
+            for source, target, make, interval in (
+                (S.SILVER_BIKE, S.GOLD_BIKE_HOURLY, lambda df: bike_usage(df, "hour", watermark), None),
+                (S.SILVER_BIKE, S.GOLD_BIKE_DAILY, lambda df: bike_usage(df, "day", watermark), None),
+                (S.SILVER_WEATHER, S.GOLD_WEATHER_HOURLY, lambda df: weather_summary(df, "hour", watermark), None),
+                (S.SILVER_WEATHER, S.GOLD_WEATHER_DAILY, lambda df: weather_summary(df, "day", watermark), None),
+                (S.SILVER_BIKE, S.GOLD_BIKE_MINUTE, lambda df: bike_minute(df, watermark), minute_every),
+            )
         ),
     ]
     if quarantine:
@@ -71,4 +92,19 @@ def lake_flows(
                 lambda df: quarantined(df, S.WEATHER_EVENT),
             ),
         ]
+    if composed:
+        by_target = {flow.target: flow for flow in flows}
+        flows = [_from_topic(flow, by_target) for flow in flows]
     return tuple(flow if flow.every else replace(flow, every=every) for flow in flows)
+
+
+def _from_topic(flow: Flow, by_target: dict[S.TableSpec, Flow]) -> Flow:
+    """The flow with all steps from its topic on."""
+    while isinstance(flow.source, S.TableSpec):
+        below = by_target[flow.source]
+        flow = replace(flow, source=below.source, transform=_then(below.transform, flow.transform))
+    return flow
+
+
+def _then(first: Callable, second: Callable) -> Callable[[DataFrame], DataFrame]:
+    return lambda df: second(first(df))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from dataclasses import replace
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
@@ -34,8 +35,9 @@ class LakeJob:
     ``sources`` maps topic names to a Kafka topic, an envelope folder or a streaming
     envelope frame. ``max_files_per_trigger`` / ``max_bytes_per_trigger`` bound how much
     of a stored table one micro-batch takes, so a backlog is worked off in pieces that
-    fit the cluster. Summaries declare any row late that arrives in a later batch than
-    the one that closed its window: work off a badly ordered backlog in one batch.
+    fit the cluster. Summary flows are not bounded, by these or by their source: rows of a
+    later piece would be late for windows that an earlier one closed. For a history too
+    large for one batch use ``backfill_summaries``, then flows with ``summaries_from``.
     ``shuffle_partitions`` is the number of state partitions of each summary (default:
     the session's); a checkpoint keeps the number it was started with.
     """
@@ -58,6 +60,22 @@ class LakeJob:
         self.max_bytes_per_trigger = max_bytes_per_trigger
         self.shuffle_partitions = shuffle_partitions
         self.queries: dict[str, StreamingQuery] = {}
+        self._totals: dict[str, dict] = {}
+        self._check_flows()
+
+    def _check_flows(self) -> None:
+        targets = [flow.target.view_name for flow in self.flows]
+        twice = {t for t in targets if targets.count(t) > 1}
+        if twice:
+            raise ValueError(f"more than one flow fills {sorted(twice)}")
+        by_target = {flow.target: flow for flow in self.flows}
+        for flow in self.flows:
+            passed, at = {flow.target}, flow
+            while isinstance(at.source, TableSpec) and at.source in by_target:
+                if at.source in passed:
+                    raise ValueError(f"{flow.target.view_name} is made from itself")
+                passed.add(at.source)
+                at = by_target[at.source]
 
     def start(self) -> dict[str, StreamingQuery]:
         """Start every flow; each follows its source until stopped. All or none run."""
@@ -75,6 +93,7 @@ class LakeJob:
         try:
             while all(query.isActive for query in running):
                 running[0].awaitTermination(poll_seconds)
+                self._count()
         except StreamingQueryException:
             pass
         finally:
@@ -93,8 +112,13 @@ class LakeJob:
             ready = [flow for flow in waiting if flow.source not in pending]
             started = self._start_all(ready, available_now=True)
             try:
-                for query in started:
-                    query.awaitTermination()
+                active = started
+                while active:
+                    # The first to fail is reported at once, not after those before it.
+                    for query in active:
+                        query.awaitTermination(0.2)
+                    self._count()
+                    active = [query for query in active if query.isActive]
             except StreamingQueryException:
                 self.stop()
                 self._raise_failure()
@@ -106,24 +130,39 @@ class LakeJob:
             query.stop()
 
     def progress(self) -> dict[str, dict]:
-        """Per flow: batches and rows lately seen, late rows dropped, newest watermark.
+        """Per flow: batches and rows seen, late rows dropped, newest watermark.
 
-        Sums run over the progress reports Spark keeps (the last hundred by default).
+        Sums run over the whole time since the flow was started, as long as the job polls
+        (``run``, ``wait``, ``run_available`` or this) at least once in the hundred batches
+        whose reports Spark keeps.
         """
-        report = {}
-        for name, query in self.queries.items():
-            seen = query.recentProgress
-            last = seen[-1] if seen else None
-            report[name] = {
-                "batches": len({p.batchId for p in seen}),
-                "rows_in": sum(p.numInputRows for p in seen),
-                "late_rows_dropped": sum(
-                    op.numRowsDroppedByWatermark for p in seen for op in p.stateOperators
-                ),
-                "watermark": last.eventTime.get("watermark") if last else None,
+        self._count()
+        return {
+            name: {
+                **{k: v for k, v in self._totals[name].items() if k not in ("run", "seen")},
                 "active": query.isActive,
             }
-        return report
+            for name, query in self.queries.items()
+        }
+
+    def _count(self) -> None:
+        """Add the reports that came since the last look."""
+        for name, query in self.queries.items():
+            total = self._totals.get(name)
+            if total is None or total["run"] != query.runId:
+                total = self._totals[name] = {
+                    "run": query.runId, "seen": ("", -1), "batches": 0, "rows_in": 0,
+                    "late_rows_dropped": 0, "watermark": None,
+                }
+            for report in query.recentProgress:
+                place = (report.timestamp, report.batchId)
+                if place <= total["seen"]:
+                    continue
+                total["batches"] += report.batchId != total["seen"][1]
+                total["seen"] = place
+                total["rows_in"] += report.numInputRows
+                total["late_rows_dropped"] += sum(o.numRowsDroppedByWatermark for o in report.stateOperators)
+                total["watermark"] = report.eventTime.get("watermark") or total["watermark"]
 
     def _needed(self, only: Iterable[TableSpec] | None) -> list[Flow]:
         if only is None:
@@ -152,7 +191,7 @@ class LakeJob:
         options = streaming_options(self.spark, self.shuffle_partitions)
         with settings(self.spark, options):
             query = write_table_stream(
-                flow.transform(self._read(flow.source)),
+                flow.transform(self._read(flow.source, flow.summary)),
                 self.layout,
                 flow.target,
                 every=flow.every,
@@ -161,19 +200,23 @@ class LakeJob:
         self.queries[flow.target.view_name] = query
         return query
 
-    def _read(self, source: str | TableSpec) -> DataFrame:
+    def _read(self, source: str | TableSpec, whole: bool) -> DataFrame:
         if isinstance(source, TableSpec):
             ensure_table(self.spark, self.layout, source)
             return stream_table(
                 self.spark,
                 self.layout,
                 source,
-                self.max_files_per_trigger,
-                self.max_bytes_per_trigger,
+                None if whole else self.max_files_per_trigger,
+                None if whole else self.max_bytes_per_trigger,
             )
         origin = self.sources[source]
         if isinstance(origin, DataFrame):
             return origin
+        if whole and isinstance(origin, EnvelopeFolder):
+            origin = replace(origin, max_files_per_trigger=None, max_bytes_per_trigger=None)
+        elif whole:
+            origin = replace(origin, max_offsets_per_trigger=None)
         return read_envelope_stream(self.spark, origin)
 
     def _raise_failure(self) -> None:

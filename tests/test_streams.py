@@ -61,12 +61,13 @@ def test_all_nine_tables(spark, place):
     drop_into(spark, place.bike, [bike(), bike(at="2024-01-03T00:00:00Z"), "not json", None, " "])
     drop_into(spark, place.weather, [weather(), weather(at="2024-01-03T00:00:00Z")], "weather")
     progress = run(spark, place)
-    assert len(progress) == 9
+    assert len(progress) == 11
     counts = {spec.view_name: table(spark, place, spec).count() for spec in S.TABLES}
     assert counts == {
         "bronze_bike": 5, "bronze_weather": 2, "silver_bike_events": 2,
         "silver_weather_events": 2, "gold_bike_usage_hourly": 1, "gold_bike_usage_daily": 1,
         "gold_weather_hourly": 1, "gold_weather_daily": 1, "gold_bike_minute": 1,
+        "quarantine_bike": 3, "quarantine_weather": 0,
     }
     assert progress["gold_bike_usage_hourly"]["watermark"] == "2024-01-02T23:45:00.000Z"
     assert not any(p["active"] for p in progress.values())
@@ -242,12 +243,13 @@ def test_a_flow_that_cannot_start_stops_those_that_did(spark, place):
 
 def test_unknown_table_is_an_error(spark, place):
     with pytest.raises(ValueError, match="quarantine_bike"):
-        LakeJob(spark, place.layout, {}).run_available([S.QUARANTINE_BIKE])
+        LakeJob(spark, place.layout, {}, lake_flows(quarantine=False)).run_available([S.QUARANTINE_BIKE])
 
 
 def test_continuous_run_follows_the_source(spark, place):
     drop_into(spark, place.bike, [bike()])
-    flows = tuple(f for f in lake_flows() if f.target in (S.BRONZE_BIKE, S.SILVER_BIKE))
+    """With a processing-time trigger."""
+    flows = tuple(f for f in lake_flows(every="1 second") if f.target in (S.BRONZE_BIKE, S.SILVER_BIKE))
     job = LakeJob(spark, place.layout, {"bike": EnvelopeFolder(place.bike)}, flows)
     job.start()
 
