@@ -4,14 +4,9 @@ from __future__ import annotations
 
 import math
 import uuid
-from collections.abc import Callable, Iterator
-from functools import reduce
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from rillstone.session import scratch_dir
 
@@ -39,32 +34,11 @@ def fresh_name(df: DataFrame, stem: str) -> str:
     return name
 
 
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
-def map_arrow(
-    df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | T.StructType
-) -> DataFrame:
-    return df.mapInArrow(fn, schema)
-
-
-def list_array(values: np.ndarray, lengths: np.ndarray, kind: pa.DataType | None = None) -> pa.Array:
-    """Lists of consecutive values, of the given lengths."""
-    offsets = np.zeros(len(lengths) + 1, np.int32)
-    np.cumsum(lengths, out=offsets[1:])
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, kind))
-
-
 def crc_remainder(doc_id: str, modulus: int):
     """crc32(doc_id as text) mod ``modulus``; null for a null id."""
     return F.crc32(F.col(doc_id).cast("string")) % F.lit(modulus)
 
 
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
-
-
 def docs_per_block(n: int) -> int:
     """Rows of one block: a task's worth. Grows with the root of the table, up to a fixed bound."""
     return min(16384, max(512, math.isqrt(n)))
