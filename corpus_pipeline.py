@@ -27,8 +27,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id stays."""
-    groups = jaccard_groups(docs.select("doc_id", "text"))
+    """Of each group of near duplicates (five-word shingles, Jaccard of 0.8 or more) the document
+    with the smallest id stays."""
+    groups = jaccard_groups(docs.select("doc_id", "text"), size=5, percent=80)
     spare = groups.where("component_id <> doc_id").select("doc_id")
     return docs.join(spare, "doc_id", "left_anti").select(*docs.columns)
 
