@@ -4,14 +4,19 @@ A bounded sample of vectors is halved again and again at the median between two
 clusters of equal size; their means are the centroids, linked into a neighbour graph that every
 task holds in memory and searches best-first. Every vector joins the list of its nearest centroid
 and, near a boundary, further lists: centroids within ``(1 + replicate)`` times the nearest
-distance, but none that lies nearer to a chosen centroid than to the vector. A query opens the
-lists whose centroids lie within ``(1 + open_ratio)`` times its nearest distance. Members of the
+distance, but none that lies nearer to a chosen centroid than to the vector. A query opens all
+lists whose centroids lie within a ratio of its nearest distance, however many they are. The ratio
+is measured on each table: the true neighbours of ``PROBES`` queries among all vectors, and the
+ratio that opens a list of each; the one that reaches ``RECALL`` of them is taken. Members of the
 opened lists are compared on the original vectors in double precision.
 
+Lists that lie side by side form at most ``REGIONS`` regions; a query is sent once to a region, with
+the numbers of the lists it opens there.
+
 Inner product becomes distance by one more component, sqrt(largest norm**2 - norm**2), which is 0
 for queries. Equal vectors are one entry with the smallest of their ids, as many as a result can
-hold; equal queries are one search. Long lists are cut into pieces by a hash of the id, each a task
-of its own. The index is fitted on ``SAMPLE`` rows, the number of lists is at most ``MAX_LISTS``;
+hold; equal queries are one search. Large regions are cut into pieces by a hash of the id, each a
+task of its own. The index is fitted on ``SAMPLE`` rows, the number of lists is at most ``MAX_LISTS``;
 every vector is in a list.
 
 Vectors that are null, zero, hold null or non-finite components, or have another length than most
@@ -24,6 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -32,14 +38,16 @@ from rillstone.llm.common import read, stored
 SAMPLE = 20000
 MAX_LISTS = 2048
 LIST_SIZE = 256
-#: Rows of one piece of a list.
-PIECE = 4096
+REGIONS = 32
+#: Rows of one piece of a region.
+PIECE = 32768
 NEIGHBOURS_IN_GRAPH = 24
-BEAM = 96
+BEAM = 32
 REPLICAS = 6
 REPLICATE = 0.12
-OPEN_RATIO = 0.35
-OPEN_AT_MOST = 48
+#: Queries whose true neighbours set the ratio of opened lists, and the share of these to be reached.
+PROBES = 256
+RECALL = 0.97
 
 
 @dataclass
@@ -51,6 +59,11 @@ class Lists:
     entries: np.ndarray
     largest: float
 
+    def distances(self, queries: np.ndarray) -> np.ndarray:
+        """From each query (its extra component is 0) to every centroid."""
+        plain = self.centroids[:, :-1]
+        return np.sqrt(np.maximum((queries**2).sum(1)[:, None] + (self.centroids**2).sum(1) - 2 * queries @ plain.T, 0))
+
     def search(self, points: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
         """Best-first search of the graph for many points at once: centroids, nearest first, and
         their squared distances. Every round opens each point's nearest unopened centroid."""
@@ -110,7 +123,9 @@ def _halves(points: np.ndarray, size: int, rng: np.random.Generator) -> list[np.
 
 def fit_lists(sample: np.ndarray, largest: float, lists: int) -> Lists:
     whole = np.concatenate([sample, np.sqrt(np.maximum(largest**2 - (sample**2).sum(1), 0))[:, None]], 1)
-    centroids = np.unique(np.array(_halves(whole, max(1, -(-len(whole) // lists)), np.random.default_rng(7))), axis=0)
+    means = np.array(_halves(whole, max(1, -(-len(whole) // lists)), np.random.default_rng(7)))
+    # In the order of halving, so that lists of near numbers lie side by side.
+    centroids = means[np.sort(np.unique(means, axis=0, return_index=True)[1])]
     near = np.empty((len(centroids), min(NEIGHBOURS_IN_GRAPH, len(centroids))), np.int64)
     norms = (centroids**2).sum(1)
     for a in range(0, len(centroids), 512):
@@ -144,6 +159,59 @@ def usable_vectors(table: DataFrame, id_column: str, vector_column: str) -> tupl
     return plain.where(F.size(v) == width), width
 
 
+def _largest(queries: np.ndarray, points: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows of queries, rows of points and products of each query's n largest, ties included."""
+    products = queries @ points.T
+    if products.shape[1] > n:
+        least = np.partition(products, -n, axis=1)[:, -n]
+        row, column = np.nonzero(products >= least[:, None] - 1e-9)
+    else:
+        row, column = (x.ravel() for x in np.indices(products.shape))
+    return row, column, (queries[row] * points[column]).sum(1)
+
+
+def _best(row: np.ndarray, ids: np.ndarray, score: np.ndarray, n: int) -> np.ndarray:
+    """Places of each row's n largest scores (ties: the smaller id), each id once."""
+    order = np.lexsort((ids, -score, row))
+    new = np.ones(len(order), bool)
+    new[1:] = (row[order][1:] != row[order][:-1]) | (ids[order][1:] != ids[order][:-1])
+    order = order[new]
+    own = row[order]
+    return order[np.arange(len(own)) - np.searchsorted(own, own) < n]
+
+
+def open_ratio(placed: DataFrame, probes: np.ndarray, lists: Lists, k: int) -> float:
+    """The least ratio of distances that reaches ``RECALL`` of the probes' true neighbours among
+    all vectors of ``placed`` (id, vector, lists). Each task sends at most k + 1 rows per probe."""
+    if not len(probes) or len(lists.centroids) == 1:
+        return 1.0
+    distance = lists.distances(probes)
+    ratio = distance / np.maximum(distance.min(1), 1e-12)[:, None]
+    shared = placed.sparkSession.sparkContext.broadcast((probes, ratio))
+
+    def compare(batches):
+        queries, ratio = shared.value
+        kept = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0), np.zeros(0, bool)]
+        for batch in batches:
+            for a in range(0, batch.num_rows, 8192):
+                part = batch.slice(a, 8192)
+                points, ids = _matrix(part.column(1), queries.shape[1]), part.column(0).to_numpy()
+                row, column, score = _largest(queries, points, k + 1)
+                first = np.concatenate([[0], np.cumsum(pa.compute.list_value_length(part.column(2)).to_numpy())])
+                members = part.column(2).flatten().to_numpy()
+                need = np.array([ratio[r, members[first[c] : first[c + 1]]].min() for r, c in zip(row.tolist(), column.tolist(), strict=True)])
+                kept = [np.concatenate(x) for x in zip(kept, (row, ids[column], score, need, (queries[row] == points[column]).all(1)), strict=True)]
+                best = _best(kept[0], kept[1], kept[2], k + 1)
+                kept = [x[best] for x in kept]
+        other = ~kept[4]
+        yield pa.RecordBatch.from_arrays([pa.array(x[other]) for x in kept[:4]], ["probe", "id", "score", "need"])
+
+    found = placed.select("id", "vector", "lists").mapInArrow(compare, "probe long, id long, score double, need double")
+    place = F.row_number().over(Window.partitionBy("probe").orderBy(F.desc("score"), "id"))
+    needs = found.withColumn("place", place).where(F.col("place") <= k).select("need").toArrow()["need"].to_numpy()
+    return float(np.quantile(needs, RECALL, method="higher")) if len(needs) else 1.0
+
+
 def nearest(
     table: DataFrame, id_column: str = "vec_id", vector_column: str = "embedding", query_every: int = 20, k: int = 20, sample: int = SAMPLE, max_lists: int = MAX_LISTS
 ) -> DataFrame:
@@ -158,17 +226,13 @@ def nearest(
     lists = fit_lists(_matrix(bounded["vector"], width), largest, int(max(1, min(max_lists, count // LIST_SIZE, bounded.num_rows // 4))))
     shared = spark.sparkContext.broadcast(lists)
 
-    def near_lists(points: np.ndarray, query: bool) -> list[np.ndarray]:
+    def near_lists(points: np.ndarray) -> list[np.ndarray]:
         known, found = shared.value, []
         for a in range(0, len(points), 512):
             some = points[a : a + 512]
-            extra = np.zeros(len(some)) if query else np.sqrt(np.maximum(known.largest**2 - (some**2).sum(1), 0))
-            ids, dist = known.search(np.concatenate([some, extra[:, None]], 1), BEAM if query else BEAM // 3)
+            extra = np.sqrt(np.maximum(known.largest**2 - (some**2).sum(1), 0))
+            ids, dist = known.search(np.concatenate([some, extra[:, None]], 1), BEAM)
             dist = np.sqrt(np.maximum(dist, 0))
-            if query:
-                inside = (dist <= dist[:, :1] * (1 + OPEN_RATIO) + 1e-12) & (np.arange(dist.shape[1]) < OPEN_AT_MOST)
-                found += [row[keep] for row, keep in zip(ids, inside, strict=True)]
-                continue
             inside = dist <= dist[:, :1] * (1 + REPLICATE) + 1e-12
             for row, d, keep in zip(ids, dist, inside, strict=True):
                 chosen: list[int] = []
@@ -178,58 +242,84 @@ def nearest(
                 found.append(np.array(chosen))
         return found
 
-    def lists_of(query: bool):
-        def assign(batches):
-            for batch in batches:
-                found = near_lists(_matrix(batch.column(1), width), query) if batch.num_rows else []
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([x.astype(np.int32) for x in found], pa.list_(pa.int32()))], ["id", "vector", "lists"])
-
-        return assign
+    def place(batches):
+        for batch in batches:
+            found = near_lists(_matrix(batch.column(1), width)) if batch.num_rows else []
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([x.astype(np.int32) for x in found], pa.list_(pa.int32()))], ["id", "vector", "ids", "lists"])
 
     # Equal vectors: their smallest ids, enough for any result and the query itself.
     first = Window.partitionBy("vector").orderBy("id")
     entries = vectors.distinct().withColumn("number", F.row_number().over(first)).where(F.col("number") <= k + 1)
     entries = entries.groupBy("vector").agg(F.array_sort(F.collect_list("id")).alias("ids"))
     entries = entries.select(F.col("ids")[0].alias("id"), "vector", "ids")
-    members = stored(entries.select("id", "vector").mapInArrow(lists_of(False), "id long, vector array<double>, lists array<int>").select("id", "vector", F.explode("lists").alias("list")), "members")
-    same = stored(entries.select("id", "ids"), "entries")
+    placed = stored(entries.mapInArrow(place, "id long, vector array<double>, ids array<long>, lists array<int>"), "placed")
+    same = placed.select("id", "ids")
 
     key = F.xxhash64("vector").alias("key")
     queries = stored(vectors.where(F.col("id") % query_every == 0).select("id", "vector", key), "queries")
     asked = queries.groupBy("key").agg(F.first("vector").alias("vector")).select(F.col("key").alias("id"), "vector")
-    asked = stored(asked.mapInArrow(lists_of(True), "id long, vector array<double>, lists array<int>").select("id", "vector", F.explode("lists").alias("list")), "asked")
-
-    # Lists are at most MAX_LISTS, so their lengths can be broadcast.
-    lengths = F.broadcast(members.groupBy("list").agg(F.ceil(F.count("*") / PIECE).alias("pieces")))
-    cut = members.join(lengths, "list").withColumn("piece", F.pmod(F.xxhash64("id"), "pieces"))
-    ask_lengths = F.broadcast(asked.groupBy("list").agg(F.ceil(F.count("*") / PIECE).alias("turns")))
-    cut = cut.join(ask_lengths, "list").withColumn("turn", F.explode(F.sequence(F.lit(0).cast("long"), F.col("turns") - 1)))
-    asked = asked.join(ask_lengths, "list").withColumn("turn", F.pmod(F.xxhash64("id"), "turns"))
-    asked = asked.join(lengths, "list").withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)))
+    probes = asked.orderBy("id").limit(PROBES).select("vector").toArrow()["vector"]
+    ratio = open_ratio(placed, _matrix(probes, width), lists, k)
+    total = len(lists.centroids)
+    regions = min(REGIONS, total)
+
+    def ask(batches):
+        region_of = np.arange(total) * regions // total
+        for batch in batches:
+            rows, region, opened = [], [], []
+            points = _matrix(batch.column(1), width)
+            for a in range(0, len(points), 512):
+                dist = shared.value.distances(points[a : a + 512])
+                for n, inside in enumerate(dist <= dist.min(1)[:, None] * ratio + 1e-12):
+                    which = np.flatnonzero(inside).astype(np.int32)
+                    own, begin = np.unique(region_of[which], return_index=True)
+                    rows += [a + n] * len(own)
+                    region += own.tolist()
+                    opened += np.split(which, begin[1:])
+            yield pa.RecordBatch.from_arrays([*(c.take(pa.array(rows, pa.int32())) for c in batch.columns), pa.array(region, pa.int32()), pa.array(opened, pa.list_(pa.int32()))], ["id", "vector", "region", "lists"])
+
+    asked = stored(asked.mapInArrow(ask, "id long, vector array<double>, region int, lists array<int>"), "asked")
+    region = lambda x: F.floor(x.cast("long") * regions / total).cast("int")
+    members = placed.select("id", "vector", "lists", F.explode(F.array_distinct(F.transform("lists", region))).alias("region"))
+
+    # Regions are at most REGIONS, so their lengths can be broadcast.
+    lengths = F.broadcast(members.groupBy("region").agg(F.ceil(F.count("*") / PIECE).alias("pieces")))
+    cut = members.join(lengths, "region").withColumn("piece", F.pmod(F.xxhash64("id"), "pieces"))
+    ask_lengths = F.broadcast(asked.groupBy("region").agg(F.ceil(F.count("*") / PIECE).alias("turns")))
+    cut = cut.join(ask_lengths, "region").withColumn("turn", F.explode(F.sequence(F.lit(0).cast("long"), F.col("turns") - 1)))
+    asked = asked.join(ask_lengths, "region").withColumn("turn", F.pmod(F.xxhash64("id"), "turns"))
+    asked = asked.join(lengths, "region").withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)))
+
+    def rows_by_list(table: pa.Table) -> dict[int, np.ndarray]:
+        column = table["lists"].combine_chunks()
+        row = np.repeat(np.arange(len(column)), pa.compute.list_value_length(column).to_numpy(zero_copy_only=False))
+        number = column.flatten().to_numpy()
+        order = np.argsort(number, kind="stable")
+        which, begin = np.unique(number[order], return_index=True)
+        return dict(zip(which.tolist(), np.split(row[order], begin[1:]), strict=True))
 
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
         q, v, score = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
         if left.num_rows and right.num_rows:
             queries, points = _matrix(left["vector"], width), _matrix(right["vector"], width)
             ids, numbers = right["id"].to_numpy(), left["id"].to_numpy()
+            held = {number: (rows, points[rows]) for number, rows in rows_by_list(right).items()}
             for a in range(0, len(queries), 256):
-                products = queries[a : a + 256] @ points.T
-                if products.shape[1] > k + 1:
-                    least = np.partition(products, -(k + 1), axis=1)[:, -(k + 1)]
-                    row, column = np.nonzero(products >= least[:, None] - 1e-9)
-                else:
-                    row, column = (x.ravel() for x in np.indices(products.shape))
-                exact = (queries[a + row] * points[column]).sum(1)
-                order = np.lexsort((ids[column], -exact, row))
-                row, column, exact = row[order], column[order], exact[order]
-                keep = np.arange(len(row)) - np.searchsorted(row, row) <= k
-                q.append(numbers[a + row[keep]])
-                v.append(ids[column[keep]])
-                score.append(exact[keep])
+                found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+                for number, rows in rows_by_list(left.slice(a, 256)).items():
+                    if number in held:
+                        where, some = held[number]
+                        row, column, exact = _largest(queries[a + rows], some, k + 1)
+                        found.append((rows[row], ids[where[column]], exact))
+                row, near, exact = (np.concatenate(x) for x in zip(*found, strict=True))
+                best = _best(row, near, exact, k + 1)
+                q.append(numbers[a + row[best]])
+                v.append(near[best])
+                score.append(exact[best])
         return pa.table({"key": pa.array(np.concatenate(q)), "id": pa.array(np.concatenate(v)), "score": pa.array(np.concatenate(score))})
 
-    where = ["list", "piece", "turn"]
-    found = asked.select("id", "vector", *where).groupBy(*where).cogroup(cut.select("id", "vector", *where).groupBy(*where)).applyInArrow(compare, "key long, id long, score double")
+    where = ["region", "piece", "turn"]
+    found = asked.select("id", "vector", "lists", *where).groupBy(*where).cogroup(cut.select("id", "vector", "lists", *where).groupBy(*where)).applyInArrow(compare, "key long, id long, score double")
     found = found.groupBy("key", "id").agg(F.max("score").alias("score"))
     best = Window.partitionBy("key").orderBy(F.desc("score"), "id")
     found = found.withColumn("place", F.row_number().over(best)).where(F.col("place") <= k + 1)

@@ -162,6 +162,19 @@ def test_recall(spark, monkeypatch):
     assert len(got & want) / len(want) >= 0.9
 
 
+def test_recall_holds_as_lists_grow(spark, monkeypatch):
+    """Vectors without clusters in more lists than any fixed number of opened ones would serve."""
+    monkeypatch.setattr(ann, "LIST_SIZE", 10)
+    x = np.random.default_rng(6).normal(size=(8000, 64)).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    table = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = {(r.query_id, r.vec_id) for r in ann.nearest(table, query_every=40).collect()}
+    scores = x[::40].astype(float) @ x.T.astype(float)
+    scores[np.arange(200), np.arange(0, 8000, 40)] = -9
+    want = {(40 * q, i) for q, row in enumerate(np.argsort(-scores, 1)[:, :20].tolist()) for i in row}
+    assert len(got & want) / len(want) >= 0.9
+
+
 # Pages
 
 
