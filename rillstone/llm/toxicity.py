@@ -2,8 +2,11 @@
 
 Labelled examples (at most ``per_label`` of each label, those with the smallest hashes of their
 ids) are the index. Terms are words and their beginnings of 4 to 8 bytes, so that inflected forms
-share a term; among them the terms that are more frequent in toxic examples, by a chi-square test
-and by their share of toxic ones, are kept. A text is a vector of sqrt(percent of its words) * idf over these terms and one
+share a term; among them all terms whose rate in toxic examples is ``LEAST_RATIO`` times that in the
+others, and that pass a chi-square test, are kept. Both use rates within a label, weighted by the
+label's share in all labels, so the balance of the examples does not matter; idf counts the
+documents of the whole table. Neutral terms are no part of a vector: the cosine compares the
+vocabulary of toxic texts. A text is a vector of sqrt(percent of its words) * idf over these terms and one
 component for its background, which every text has, so that lone chance words weigh little.
 
 Examples lie in blocks of similar ones. For each term a block has the largest weight of its
@@ -25,17 +28,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillstone.llm import arrays
 from rillstone.llm.common import crc_remainder, read
 
 PER_LABEL = 2000
-MAX_TERMS = 2048
 LEAST_CHI2 = 16.0
-#: Least share of toxic examples among those that hold a term.
-LEAST_SHARE = 0.75
+#: Least rate of a term in toxic examples, as a multiple of its rate in the others.
+LEAST_RATIO = 3.0
 PREFIXES = range(4, 9)
 NEIGHBOURS = 15
 BLOCK = 64
@@ -170,6 +172,33 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float,
     return a, -b / a
 
 
+def chi_square(toxic_rate: Column, other_rate: Column, share: float, rows: int) -> Column:
+    """Of a term and the label, in ``rows`` texts of which ``share`` are toxic."""
+    rate = share * toxic_rate + (1 - share) * other_rate
+    return rows * share * (1 - share) * (toxic_rate - other_rate) ** 2 / (rate * (1 - rate) + 1e-12)
+
+
+def inverse_frequencies(texts: DataFrame, vocabulary: np.ndarray) -> np.ndarray:
+    """idf of each term over all rows of ``texts`` (text). A task sends one row per term it met."""
+    if not len(vocabulary):
+        return np.zeros(0)
+    shared = texts.sparkSession.sparkContext.broadcast(vocabulary)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, total, met = shared.value, 0, np.zeros(len(shared.value), np.int64)
+        for batch in batches:
+            total += batch.num_rows
+            for _, _, h, row, _ in _term_rows(batch.column(0)):
+                at = np.minimum(np.searchsorted(known, h), len(known) - 1)
+                keep = known[at] == h
+                met += np.bincount(np.unique(row[keep] * len(known) + at[keep]) % len(known), minlength=len(known))
+        some = np.flatnonzero(met)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1)), pa.array(np.append(met[some], total))], ["term", "n"])
+
+    found = {r["term"]: r["n"] for r in texts.mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()}
+    return np.log((found[-1] + 1) / (np.array([found.get(k, 0) for k in range(len(vocabulary))], float) + 1)) + 1
+
+
 def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", label_column: str = "toxic", per_label: int = PER_LABEL) -> Toxicity:
     spark = docs.sparkSession
     known = labels.select(labels[id_column].alias("id"), labels[label_column].cast("int").alias("toxic")).where("id IS NOT NULL AND toxic IS NOT NULL").groupBy("id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
@@ -195,13 +224,10 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
     toxic_rows, rows = by_label.get(1, 0), sum(by_label.values())
     if not toxic_rows or toxic_rows == rows:
         return Toxicity(np.zeros(0, np.uint64), np.zeros(0), None, np.zeros(0), [], share=share)
-    expected = F.col("n") * (toxic_rows / rows)
-    chi2 = (F.col("t") - expected) ** 2 / (expected * (1 - toxic_rows / rows) * (1 - F.col("n") / (rows + 1)))
-    best = frequency.withColumn("chi2", chi2).where((F.col("t") > expected) & (F.col("t") >= LEAST_SHARE * F.col("n")) & (F.col("chi2") >= LEAST_CHI2)).orderBy(F.desc("chi2"), "term").limit(MAX_TERMS).select("term", "n").collect()
-    h = np.array([r["term"] for r in best], np.int64).view(np.uint64)
-    order = np.argsort(h)
-    vocabulary = h[order]
-    idf = np.log((rows + 1) / (np.array([r["n"] for r in best], float)[order] + 1)) + 1 if best else np.zeros(0)
+    toxic_rate, other_rate = F.col("t") / toxic_rows, (F.col("n") - F.col("t")) / (rows - toxic_rows)
+    best = frequency.where((toxic_rate >= LEAST_RATIO * other_rate) & (chi_square(toxic_rate, other_rate, share, rows) >= LEAST_CHI2)).select("term").collect()
+    vocabulary = np.sort(np.array([r["term"] for r in best], np.int64).view(np.uint64))
+    idf = inverse_frequencies(docs.select(docs[text_column].cast("string").alias("text")), vocabulary)
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_cases import documents, frame, words
 
@@ -80,6 +81,21 @@ def test_toxicity_learns_and_takes_awkward_rows(spark):
     assert toxicity.scored(frame(spark, []), model).count() == 0
 
 
+@pytest.mark.parametrize("per_label", [40, 2000])
+def test_toxic_terms_do_not_depend_on_the_balance_of_examples(spark, per_label):
+    r = random.Random(4)
+    mark = lambda share: "halfbad" if r.random() < share else "ok"
+    rows = [(k, f"w{r.randint(0, 400)} " * 9 + mark(1.0 if k % 10 == 0 else 0.15)) for k in range(400)]
+    rows += [(1000 + k, "halfbad") for k in range(100)]  # without labels
+    labels = spark.createDataFrame([(k, int(k % 10 == 0)) for k in range(400)], "doc_id long, toxic int")
+    model = toxicity.train(frame(spark, rows), labels, per_label=per_label)
+    ((_, _, h, _, _),) = toxicity._term_rows(pa.array(["halfbad"]))
+    at = np.searchsorted(model.vocabulary, np.sort(h))
+    assert np.array_equal(model.vocabulary[at], np.sort(h))
+    held = sum("halfbad" in t for _, t in rows)
+    assert np.allclose(model.idf[at], math.log(501 / (held + 1)) + 1)
+
+
 # Language model
 
 
