@@ -8,12 +8,15 @@ from dataclasses import dataclass
 
 #: Tags that do not break a block.
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split()
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr"
+    " annotation annotation-xml math merror mfrac mi mn mo mover mpadded mphantom mroot mrow ms mspace msqrt mstyle msub msubsup msup mtext munder munderover semantics".split()
 )
 #: Tags without content.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is not text of the page.
-SILENT = frozenset("script style template noscript iframe object svg math canvas head title select option textarea button datalist".split())
+SILENT = frozenset("script style template noscript iframe object svg math canvas head title select option textarea button datalist annotation annotation-xml".split())
+#: Silent elements whose text counts inside an article.
+HEARD_IN_ARTICLE = frozenset("math object".split())
 #: Elements whose content is raw: only their own end tag ends them.
 RAW = frozenset("script style textarea title iframe noscript template".split())
 #: What an opening tag closes without an end tag.
@@ -25,6 +28,23 @@ ENDS_PARAGRAPH = frozenset(
 #: An implied end does not reach over these.
 BARRIER = frozenset("article aside body div footer form header main nav section table td th ul ol dl".split())
 
+#: What may open inside a head; anything else ends it, as text does.
+IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
+SECTIONS = frozenset("article aside body footer form h1 h2 h3 h4 h5 h6 header main nav section".split())
+#: Opening tags that HTML's rules for foreign content let end a drawing or formula.
+_FOREIGN = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split()
+) | SECTIONS
+#: Where HTML is at home again inside them.
+FOREIGN_HTML = frozenset("foreignobject desc title annotation annotation-xml mi mo mn ms mtext".split())
+_FLOW = ENDS_PARAGRAPH | SECTIONS | frozenset("dd dt li td th tr".split())
+_CHOICE = (_FLOW - {"hr"}) | {"button", "input", "select", "textarea"}
+#: Opening tags that a silent element without its end tag cannot contain.
+ENDED_BY = {
+    "svg": _FOREIGN, "math": _FOREIGN, "select": _CHOICE, "option": _CHOICE, "datalist": _CHOICE,
+    "button": (_FLOW - {"div", "hr", "menu"}) | {"button"}, "canvas": SECTIONS, "object": SECTIONS,
+}
+
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"""(id|class|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
 WORD = re.compile(r"[a-z]+")
@@ -50,6 +70,8 @@ def _names(attributes: str) -> tuple[str, ...]:
 def leaf_blocks(page: str) -> list[Block]:
     """Blocks with text, in page order. Never fails: what is not a tag is text."""
     stack: list[tuple[str, tuple[str, ...]]] = []
+    quiet: list[bool] = []  # of each open element, whether it is a silent one
+    last_end: dict[str, int] = {}
     blocks: list[Block] = []
     pieces: list[str] = []
     linked = links = silent = 0
@@ -68,11 +90,32 @@ def leaf_blocks(page: str) -> list[Block]:
         nonlocal links, silent
         for tag, _ in stack[len(stack) - count :]:
             links -= tag == "a"
-            silent -= tag in SILENT
-        del stack[len(stack) - count :]
+        silent -= sum(quiet[len(stack) - count :])
+        del quiet[len(stack) - count :], stack[len(stack) - count :]
+
+    def closed(tag: str) -> bool:
+        """Whether an end tag follows somewhere."""
+        if tag not in last_end:
+            last_end[tag] = max((m.start() for m in re.finditer(rf"</{re.escape(tag)}[\s/>]", page, re.I)), default=-1)
+        return last_end[tag] >= at
+
+    def end_silent(tag: str) -> None:
+        """Ends the open silent elements that cannot contain an opening tag."""
+        for k, (name, _) in enumerate(stack):
+            if not quiet[k]:
+                continue
+            if name == "head":
+                ended = tag not in IN_HEAD
+            else:
+                ended = tag in ENDED_BY.get(name, ()) and not (name in ("svg", "math") and any(e[0] in FOREIGN_HTML for e in stack[k + 1 :]))
+            if ended:
+                pop(len(stack) - k)
+                return
 
     def say(raw: str) -> None:
         nonlocal linked
+        if silent and stack[-1][0] == "head" and raw.strip():
+            pop(1)
         if raw and not silent:
             text = html.unescape(raw) if "&" in raw else raw
             pieces.append(text)
@@ -100,11 +143,15 @@ def leaf_blocks(page: str) -> list[Block]:
                     # An inline end does not close blocks that were opened inside it.
                     if tag == "a":
                         links -= 1
-                    del stack[depth]
+                    silent_end = quiet[depth]
+                    del stack[depth], quiet[depth]
+                    silent -= silent_end
                     continue
                 flush()
             pop(len(stack) - depth)
             continue
+        if silent:
+            end_silent(tag)
         if tag == "br" or tag == "hr":
             pieces.append(" ")
             if tag == "hr":
@@ -128,9 +175,13 @@ def leaf_blocks(page: str) -> list[Block]:
                         break
         if m[3].rstrip().endswith("/") and tag not in RAW:
             continue
+        hushed = tag in SILENT and not (tag in HEARD_IN_ARTICLE and any(e[0] == "article" for e in stack))
+        if tag in ("canvas", "object") and not closed(tag):
+            hushed = False
         stack.append((tag, _names(m[3])))
+        quiet.append(hushed)
         links += tag == "a"
-        silent += tag in SILENT
+        silent += hushed
         if tag in RAW:
             close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
             pop(1)

@@ -227,6 +227,16 @@ def test_leaf_blocks(page, blocks):
     assert [b.text for b in html_blocks.leaf_blocks(page)] == blocks
 
 
+@pytest.mark.parametrize("page,blocks", [
+    ("<html><head><title>T</title><body><p>a", ["a"]), ("<head><meta charset=x><title>T</title><p>a</p>", ["a"]), ("<head><title>T</title>a <b>b</b>", ["a b"]), ("<head> <style>x</style> </head><p>a", ["a"]),
+    ("<div><svg><path d=x><p>a</p></div>", ["a"]), ("<svg><foreignObject><div>no</div></foreignObject><text>no</text></svg><p>a", ["a"]), ("<div><select><option>no<p>a</p></div>", ["a"]),
+    ("<div><button>no<p>a</p></div>", ["a"]), ("<button><div>no</div></button><p>a", ["a"]), ("<div><canvas><p>a</p></div>", ["a"]), ("<canvas><p>no</p></canvas><p>a", ["a"]), ("<div><object data=x><p>a</p></div>", ["a"]),
+    ("<article><p>so <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>no</annotation></math> holds</p><object><p>fallback</p></object><p>a</p></article>", ["so x=2 holds", "fallback", "a"]),
+])
+def test_silent_elements_without_an_end(page, blocks):
+    assert [b.text for b in html_blocks.leaf_blocks(page)] == blocks
+
+
 def test_pages_table(spark, field):
     rows = [(1, "u", "<nav>n m</nav><article><h1>T</h1><p>Body  of\nit.</p></article><footer>&copy; f</footer>"), (2, None, None), (None, "v", ""), (3, "w", "<" * 50_000)]
     table = spark.createDataFrame([(*x, "z") for x in rows], "page_id long, url string, html string, text string")
