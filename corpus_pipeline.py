@@ -23,12 +23,12 @@ from rillstone.llm.substrings import dedup_substrings
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go. The classifier learns from the rated ones among all documents."""
     model = train(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), "quality")
-    return graded(docs, model).where("accepted").select("row.*")
+    return graded(docs, model).where("accepted OR row.text IS NULL OR row.text = ''").select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates (five-word shingles, Jaccard of 0.8 or more) the document
-    with the smallest id stays."""
+    with the smallest id stays. Repeated rows of one id are no group: all of them stay."""
     groups = jaccard_groups(docs.select("doc_id", "text"), size=5, percent=80)
     spare = groups.where("component_id <> doc_id").select("doc_id")
     return docs.join(spare, "doc_id", "left_anti").select(*docs.columns)

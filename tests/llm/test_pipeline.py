@@ -7,6 +7,7 @@ from pathlib import Path
 
 import pytest
 from llm_cases import frame
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
@@ -57,3 +58,12 @@ def test_stages_take_awkward_rows(spark, sf_dir):
         assert (4 in kept) == (name != "near_duplicates")
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs.limit(0), sf_dir).count() == 0
+
+
+def test_quality_keeps_null_and_empty_texts(spark, sf_dir, monkeypatch):
+    def rejecting(docs, model):
+        return docs.select(F.struct("*").alias("row"), F.lit(False).alias("accepted"))
+
+    monkeypatch.setattr(corpus_pipeline, "graded", rejecting)
+    made = corpus_pipeline.quality(spark, frame(spark, [(1, None), (2, ""), (None, ""), (3, "poor words")]), sf_dir)
+    assert sorted(str(r.doc_id) for r in made.collect()) == ["1", "2", "None"]
