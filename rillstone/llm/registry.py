@@ -10,6 +10,7 @@ from rillstone.llm.jaccard import op3_jaccard
 from rillstone.llm.licenses import op1_licenses
 from rillstone.llm.maxent import op10_maxent
 from rillstone.llm.ordinal import op9_quality
+from rillstone.llm.sharding import op12_sharding
 from rillstone.llm.substrings import OP4_SQL, op4_substrings
 from rillstone.llm.toxicity import op6_toxicity
 
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_ann": op8_ann,
     "op9_quality": op9_quality,
     "op10_maxent": op10_maxent,
+    "op12_sharding": op12_sharding,
 }
 
 ORACLE: dict[str, str] = {
