@@ -9,6 +9,7 @@ from rillstone.llm.html_extract import op2_html
 from rillstone.llm.jaccard import op3_jaccard
 from rillstone.llm.licenses import op1_licenses
 from rillstone.llm.maxent import op10_maxent
+from rillstone.llm.negatives import OP11_SQL, op11_negatives
 from rillstone.llm.ordinal import op9_quality
 from rillstone.llm.sharding import op12_sharding
 from rillstone.llm.substrings import OP4_SQL, op4_substrings
@@ -25,10 +26,12 @@ QUERIES = {
     "op8_ann": op8_ann,
     "op9_quality": op9_quality,
     "op10_maxent": op10_maxent,
+    "op11_negatives": op11_negatives,
     "op12_sharding": op12_sharding,
 }
 
 ORACLE: dict[str, str] = {
     "op4_substrings": OP4_SQL,
     "op7_decontaminate": OP7_SQL,
+    "op11_negatives": OP11_SQL,
 }
