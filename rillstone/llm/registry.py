@@ -14,6 +14,7 @@ from rillstone.llm.ordinal import op9_quality
 from rillstone.llm.sharding import op12_sharding
 from rillstone.llm.substrings import OP4_SQL, op4_substrings
 from rillstone.llm.toxicity import op6_toxicity
+from rillstone.llm.variants import op13_variants
 
 QUERIES = {
     "op1_licenses": op1_licenses,
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_maxent": op10_maxent,
     "op11_negatives": op11_negatives,
     "op12_sharding": op12_sharding,
+    "op13_variants": op13_variants,
 }
 
 ORACLE: dict[str, str] = {
