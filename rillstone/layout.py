@@ -26,6 +26,22 @@ class LakeLayout:
             return self.table(spec)
         return f"{self.base.rstrip('/')}/_batch/{spec.path}"
 
+    def filled_table(self, spec: TableSpec) -> str:
+        """Summaries of whole event dates, replaced date by date (``backfill_summaries``)."""
+        return f"{self.base.rstrip('/')}/_filled/{spec.path}"
+
+    def restated_table(self, spec: TableSpec) -> str:
+        """Windows that were summarised again; they stand in place of those elsewhere."""
+        return f"{self.base.rstrip('/')}/_restated/{spec.path}"
+
+    def folders(self, spec: TableSpec) -> list[str]:
+        """All folders that hold rows of the table."""
+        every = [self.table(spec), self.batch_table(spec), self.filled_table(spec), self.restated_table(spec)]
+        return list(dict.fromkeys(every))
+
+    def expiry_marks(self, spec: TableSpec) -> str:
+        return f"{self.base.rstrip('/')}/_expired/{spec.path}"
+
     def checkpoint(self, spec: TableSpec) -> str:
         return f"{self.base.rstrip('/')}/_checkpoints/{spec.view_name}"
 

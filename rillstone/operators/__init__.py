@@ -4,8 +4,11 @@ from rillstone.operators.insight import (
     rain_usage_correlation,
     utilization_by_hour_of_day,
     weather_bike_hourly,
+    weather_bike_stream,
 )
+from rillstone.operators.offsets import offset_gaps, offset_repeats, without_repeats
 from rillstone.operators.quality import bike_violations, violation_counts, weather_violations
+from rillstone.operators.reconcile import missed_rows, window_gaps
 from rillstone.operators.retention import retained
 from rillstone.operators.silver import (
     bike_silver,
@@ -32,6 +35,9 @@ __all__ = [
     "bike_silver",
     "bike_usage",
     "bike_violations",
+    "missed_rows",
+    "offset_gaps",
+    "offset_repeats",
     "parse_events",
     "quarantined",
     "rain_usage_correlation",
@@ -47,10 +53,13 @@ __all__ = [
     "utilization_by_hour_of_day",
     "violation_counts",
     "weather_bike_hourly",
+    "weather_bike_stream",
     "weather_silver",
     "weather_summary",
     "weather_violations",
     "window_agg",
+    "window_gaps",
     "with_rates",
     "with_station",
+    "without_repeats",
 ]

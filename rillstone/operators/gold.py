@@ -19,7 +19,7 @@ def _size(grain: str) -> str:
     return _GRAINS[grain]
 
 
-def bike_usage(silver: DataFrame, grain: str, watermark: str | None = None) -> DataFrame:
+def bike_usage(silver: DataFrame, grain: str, watermark: str | None = None, audited: bool = False) -> DataFrame:
     """Bike usage per station and city by ``"hour"`` or ``"day"``."""
     return window_agg(
         silver,
@@ -33,10 +33,11 @@ def bike_usage(silver: DataFrame, grain: str, watermark: str | None = None) -> D
             "docks_total": F.max("docks_total"),
         },
         watermark=watermark,
+        audited=audited,
     )
 
 
-def weather_summary(silver: DataFrame, grain: str, watermark: str | None = None) -> DataFrame:
+def weather_summary(silver: DataFrame, grain: str, watermark: str | None = None, audited: bool = False) -> DataFrame:
     """Weather per station and city by ``"hour"`` or ``"day"``."""
     return window_agg(
         silver,
@@ -50,10 +51,11 @@ def weather_summary(silver: DataFrame, grain: str, watermark: str | None = None)
             f"avg_pressure_mb_{grain}": F.avg("pressure_mb"),
         },
         watermark=watermark,
+        audited=audited,
     )
 
 
-def bike_minute(silver: DataFrame, watermark: str | None = None) -> DataFrame:
+def bike_minute(silver: DataFrame, watermark: str | None = None, audited: bool = False) -> DataFrame:
     """Typical whole-bike counts per station and city by minute."""
     return window_agg(
         silver,
@@ -66,4 +68,5 @@ def bike_minute(silver: DataFrame, watermark: str | None = None) -> DataFrame:
         },
         dt_from="start",
         watermark=watermark,
+        audited=audited,
     )

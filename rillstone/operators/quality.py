@@ -5,15 +5,22 @@ A rule is broken only where it is false; a missing reading breaks nothing.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillstone.functions import CONDITIONS
 
 
-def bike_rules() -> dict[str, Column]:
-    available, occupied = F.col("bikes_available"), F.col("bikes_occupied")
-    docks, free = F.col("docks_total"), F.col("docks_available")
+#: How a rule gets at a reading; rules can be asked of a struct's fields too.
+Reading = Callable[[str], Column]
+
+
+def bike_rules(of: Reading = F.col) -> dict[str, Column]:
+    available, occupied = of("bikes_available"), of("bikes_occupied")
+    docks, free = of("docks_total"), of("docks_available")
     return {
         "available_in_range": (available >= 0) & (available <= docks),
         "occupied_is_rest": occupied == docks - available,
@@ -21,22 +28,23 @@ def bike_rules() -> dict[str, Column]:
     }
 
 
-def _one_decimal(name: str) -> Column:
-    return F.round(name, 1) == F.col(name)
+def _one_decimal(reading: Column) -> Column:
+    return F.round(reading, 1) == reading
 
 
-def _finite(name: str) -> Column:
-    return ~F.isnan(name) & (F.abs(F.col(name)) != float("inf"))
+def _finite(reading: Column) -> Column:
+    return ~F.isnan(reading) & (F.abs(reading) != float("inf"))
 
 
-def weather_rules() -> dict[str, Column]:
+def weather_rules(of: Reading = F.col) -> dict[str, Column]:
+    measured = [of("temp_c"), of("precip_mm"), of("wind_kph")]
     return {
-        "finite": _broken_if_false(_finite("temp_c"), _finite("precip_mm"), _finite("wind_kph")),
-        "precip_not_negative": F.col("precip_mm") >= 0,
-        "wind_not_negative": F.col("wind_kph") >= 0,
-        "humidity_in_range": F.col("humidity").between(25, 100),
-        "one_decimal": _one_decimal("temp_c") & _one_decimal("precip_mm") & _one_decimal("wind_kph"),
-        "known_condition": F.col("condition").isin(*CONDITIONS),
+        "finite": _broken_if_false(*map(_finite, measured)),
+        "precip_not_negative": of("precip_mm") >= 0,
+        "wind_not_negative": of("wind_kph") >= 0,
+        "humidity_in_range": of("humidity").between(25, 100),
+        "one_decimal": reduce(Column.__and__, map(_one_decimal, measured)),
+        "known_condition": of("condition").isin(*CONDITIONS),
     }
 
 
@@ -78,3 +86,11 @@ def violation_counts(
         F.count(F.lit(1)).alias("n_rows"),
         *[F.count_if(_broken(rule)).alias(name) for name, rule in rules.items()],
     )
+
+
+def rule_metrics(rules: dict[str, Column], among: Column | None = None) -> list[Column]:
+    """The counts of ``violation_counts`` as aggregates, for ``observe`` on a stream; ``among`` says which
+    rows are checked."""
+    among = F.lit(True) if among is None else among
+    counts = [F.count_if(among & _broken(rule)).alias(name) for name, rule in rules.items()]
+    return [F.count_if(among).alias("n_rows"), *counts]

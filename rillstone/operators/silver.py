@@ -48,6 +48,7 @@ def parse_events(
     schema: StructType,
     on_malformed: str = "drop",
     required: tuple[str, ...] = ("station_id",),
+    placed: bool = False,
 ) -> DataFrame:
     """Payload columns of every message, ``event_time`` as timestamp, and its date.
 
@@ -59,16 +60,23 @@ def parse_events(
       taken as its text, both as Spark's reader does.
     * ``"keep"``: every message that has any text; what does not fit becomes null.
 
+    ``placed`` adds each message's topic partition and offset, for audits of later layers.
+
     ``quarantined`` gives the rest of ``"drop"``. Unreadable times become null, they do
     not fail the query.
     """
+    place = [F.col("partition").alias("source_partition"), F.col("offset").alias("source_offset")] if placed else []
     if on_malformed == "keep":
-        parsed = bronze.select(_parsed(schema)).where(F.col("_event").isNotNull())
+        parsed = bronze.select(_parsed(schema), *place).where(F.col("_event").isNotNull())
     elif on_malformed == "drop":
-        parsed = bronze.select(_parsed(_strict(schema))).where(_well_formed(required))
+        parsed = bronze.select(_parsed(_strict(schema)), *place).where(_well_formed(required))
     else:
         raise ValueError(f"on_malformed must be 'drop' or 'keep', not {on_malformed!r}")
-    events = parsed.select(*[F.col(f"_event.{name}") for name in schema.names])
+    return _events(parsed, schema, ["source_partition", "source_offset"] if placed else [])
+
+
+def _events(parsed: DataFrame, schema: StructType, more: list[str]) -> DataFrame:
+    events = parsed.select(*[F.col(f"_event.{name}") for name in schema.names], *more)
     return events.withColumn("event_time", F.try_to_timestamp("event_time")).withColumn(
         "dt", F.to_date("event_time")
     )
@@ -88,6 +96,25 @@ def quarantined(
     )
 
 
+def parsed_messages(
+    bronze: DataFrame, schema: StructType, required: tuple[str, ...] = ("station_id",)
+) -> DataFrame:
+    """Every message with its parsed struct ``_event`` and whether it ``_fits``: one parse, from which
+    ``accepted`` and ``refused`` take their rows."""
+    return bronze.select("*", _parsed(_strict(schema))).withColumn("_fits", _well_formed(required))
+
+
+def accepted(parsed: DataFrame, schema: StructType, placed: bool = False) -> DataFrame:
+    """What ``parse_events(..., "drop")`` gives, from ``parsed_messages``."""
+    place = {"source_partition": F.col("partition"), "source_offset": F.col("offset")} if placed else {}
+    return _events(parsed.where("_fits").withColumns(place), schema, list(place))
+
+
+def refused(parsed: DataFrame) -> DataFrame:
+    """What ``quarantined`` gives, from ``parsed_messages``."""
+    return parsed.where("NOT _fits").drop("_event", "_fits")
+
+
 def with_rates(df: DataFrame) -> DataFrame:
     """Share of docks with a bike ready, and share of docks whose bike is out."""
     return df.withColumns(
@@ -98,9 +125,9 @@ def with_rates(df: DataFrame) -> DataFrame:
     )
 
 
-def bike_silver(bronze: DataFrame, on_malformed: str = "drop") -> DataFrame:
-    return with_rates(parse_events(bronze, BIKE_EVENT, on_malformed))
+def bike_silver(bronze: DataFrame, on_malformed: str = "drop", placed: bool = False) -> DataFrame:
+    return with_rates(parse_events(bronze, BIKE_EVENT, on_malformed, placed=placed))
 
 
-def weather_silver(bronze: DataFrame, on_malformed: str = "drop") -> DataFrame:
-    return parse_events(bronze, WEATHER_EVENT, on_malformed)
+def weather_silver(bronze: DataFrame, on_malformed: str = "drop", placed: bool = False) -> DataFrame:
+    return parse_events(bronze, WEATHER_EVENT, on_malformed, placed=placed)

@@ -14,6 +14,7 @@ def window_agg(
     dt_from: str = "end",
     watermark: str | None = None,
     time: str = "event_time",
+    audited: bool = False,
 ) -> DataFrame:
     """Tumbling-window aggregate: keys, window bounds, measures, partition date.
 
@@ -21,11 +22,16 @@ def window_agg(
     window bound whose date becomes ``dt``. ``watermark`` (streams only) says how long
     after the newest event a window stays open; on a batch frame it has no effect.
 
+    ``audited`` adds what went into each row: how many rows, and, where the frame has them, the last offset and
+    the range of topic partitions. ``window_gaps`` holds these against the source.
+
     One shuffle, on (window, keys), after a partial aggregate in every input task: a key
     that holds a third of the rows sends a few partial rows per task, not its events.
     """
     if dt_from not in ("start", "end"):
         raise ValueError(f"dt_from must be 'start' or 'end', not {dt_from!r}")
+    if audited:
+        measures = {**measures, **_what_went_in(df)}
     if watermark:
         df = df.withWatermark(time, watermark)
     grouped = df.groupBy(F.window(time, size).alias("w"), *keys).agg(
@@ -38,3 +44,14 @@ def window_agg(
         *measures,
         F.to_date(f"w.{dt_from}").alias("dt"),
     )
+
+
+def _what_went_in(df: DataFrame) -> dict[str, Column]:
+    counted = {"n_rows": F.count(F.lit(1))}
+    if "source_offset" in df.columns:
+        counted |= {
+            "last_offset": F.max("source_offset"),
+            "least_partition": F.min("source_partition"),
+            "most_partition": F.max("source_partition"),
+        }
+    return counted

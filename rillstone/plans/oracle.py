@@ -433,3 +433,83 @@ _SHOWN = {
     "recent_weather_hourly": _RECENT_WEATHER_HOURLY,
 }
 ORACLE |= {f"{view}_json": _json(ORACLE[view], shown) for view, shown in _SHOWN.items()}
+
+# One topic partition with lost and repeated messages.
+_THERE = """
+    there AS (SELECT event_id FROM events
+              WHERE event_id % 97 NOT BETWEEN 5 AND 7 AND event_id % 1000 NOT BETWEEN 400 AND 480)"""
+_PATCHY_BRONZE = f"""
+    WITH all_rows AS ({_BRONZE_BIKE})
+    SELECT * REPLACE (0::INT AS partition) FROM all_rows
+    WHERE "offset" % 97 NOT BETWEEN 5 AND 7 AND "offset" % 1000 NOT BETWEEN 400 AND 480"""
+
+_FORGOTTEN = "event_id % 50 = 7 AND ts < TIMESTAMP '2024-01-15'"
+_LATE_ROWS = f"""
+    WITH {_BIKE}, late AS (SELECT * FROM bike WHERE {_FORGOTTEN})
+    SELECT {_BIKE_COLUMNS}, round(bikes_available / docks_total::DOUBLE, 9) AS availability_rate,
+           round(bikes_occupied / docks_total::DOUBLE, 9) AS utilization_rate,
+           date_trunc('day', event_time)::TIMESTAMP AS window_start,
+           (date_trunc('day', event_time) + INTERVAL 1 DAY)::TIMESTAMP AS window_end,
+           (m % 3)::INT AS source_partition, event_id + 1000000000 AS source_offset,
+           count(*) OVER (PARTITION BY station_id, dt) AS n_missed, true AS certain
+    FROM late"""
+_LATE_WINDOWS = f"""
+    WITH {_BIKE}, days AS (
+        SELECT station_id, bike_city, date_trunc('day', event_time)::TIMESTAMP AS window_start,
+               (date_trunc('day', event_time) + INTERVAL 1 DAY)::TIMESTAMP AS window_end,
+               count(*) AS n_rows, count(*) FILTER (NOT ({_FORGOTTEN})) AS n_summarised
+        FROM bike GROUP BY ALL)
+    SELECT *, n_rows - n_summarised AS n_missed, (n_summarised > 0)::BIGINT AS n_summaries
+    FROM days WHERE n_rows > n_summarised"""
+_OPEN_WINDOWS = f"""
+    WITH {_BIKE}, days AS (
+        SELECT station_id, bike_city, date_trunc('day', event_time)::TIMESTAMP AS window_start,
+               (date_trunc('day', event_time) + INTERVAL 1 DAY)::TIMESTAMP AS window_end, count(*) AS n_rows
+        FROM bike GROUP BY ALL)
+    SELECT * FROM days WHERE NOT {_CLOSED.format("bike")}"""
+_JOINED_CLOSED = f"""
+    WITH rain AS ({_weather_summary("hour", closed_only=True)}), usage AS ({_bike_usage("hour", closed_only=True)})
+    SELECT station_id, window_start, rain.dt, weather_city, avg_temp_c_hour,
+           sum_precip_mm_hour, bike_city, bikes_occupied_hour, utilization_rate_avg_hour
+    FROM rain JOIN usage USING (station_id, window_start)"""
+# Kind 6 of the broken texts fits the weather schema, which has no dock count: a row without readings.
+_QUALITY_TOTALS = f"""
+    WITH {_FAULTY_WEATHER}, kinds AS (SELECT *, {_KIND} AS kind FROM checked)
+    SELECT count(*) AS n_messages, count(*) FILTER (kind NOT IN (-1, 6)) AS refused,
+           count(*) FILTER (kind IN (-1, 6)) AS n_rows, CAST(0 AS BIGINT) AS finite,
+           count(*) FILTER (kind = -1 AND r1) AS precip_not_negative,
+           count(*) FILTER (kind = -1 AND r2) AS wind_not_negative,
+           count(*) FILTER (kind = -1 AND r3) AS humidity_in_range,
+           count(*) FILTER (kind = -1 AND r4) AS one_decimal,
+           count(*) FILTER (kind = -1 AND r5) AS known_condition
+    FROM kinds"""
+
+ORACLE |= {
+    "offset_gaps": f"""
+    WITH {_THERE}, steps AS (
+        SELECT event_id, lag(event_id) OVER (ORDER BY event_id) AS last FROM there)
+    SELECT 'bike' AS topic, 0::INT AS partition, last + 1 AS first_missing, event_id - 1 AS last_missing,
+           event_id - last - 1 AS n_missing
+    FROM steps WHERE event_id > last + 1""",
+    "offset_repeats": f"""
+    WITH {_THERE}
+    SELECT 'bike' AS topic, 0::INT AS partition, event_id AS "offset",
+           (2 + (event_id % 2 = 0)::INT)::BIGINT AS n_copies, true AS same_message
+    FROM there WHERE event_id % 53 = 0""",
+    "offsets_once": _PATCHY_BRONZE,
+    "table_compacted_twice": _SILVER_WEATHER,
+    "table_expired": ORACLE["retained"],
+    "stream_expired": ORACLE["retained"],
+    "stream_bike_daily_backfilled_twice": ORACLE["stream_bike_daily"],
+    "stream_weather_hourly_backfilled_twice": ORACLE["stream_weather_hourly"],
+    "late_rows_table": _LATE_ROWS,
+    "late_windows_after_backfill": _LATE_WINDOWS,
+    "restated_bike_daily": ORACLE["stream_bike_daily"],
+    "restated_after_backfill": ORACLE["stream_bike_daily"],
+    "stream_open_windows": _OPEN_WINDOWS,
+    "stream_weather_bike_hourly": _JOINED_CLOSED,
+    "stream_silver_with_quarantine": f"""
+    SELECT * REPLACE (round(availability_rate, 9) AS availability_rate,
+                      round(utilization_rate, 9) AS utilization_rate) FROM ({_MALFORMED_DROP})""",
+    "stream_quality_totals": _QUALITY_TOTALS,
+}

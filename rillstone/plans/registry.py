@@ -22,13 +22,14 @@ from rillstone.operators.quality import bike_rules, weather_rules
 from rillstone.session import scratch_dir
 from rillstone.sources import (
     EnvelopeFolder,
+    expire,
     publish,
     read_table,
     rewrite_compact,
     staging,
     write_table,
 )
-from rillstone.streaming import LakeJob, backfill_summaries, lake_flows
+from rillstone.streaming import LakeJob, backfill_summaries, lake_flows, late_rows, open_windows, restate, summary_gaps
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +40,7 @@ RETENTION_AS_OF = date(2024, 2, 5)
 BACKFILL_UNTIL = date(2024, 1, 20)
 LATE_FROM = date(2024, 1, 21)
 CLOSED_BEFORE = date(2024, 1, 19)
+FORGOTTEN_BEFORE = date(2024, 1, 15)
 
 
 def query(build: Query) -> Query:
@@ -272,6 +274,35 @@ def weather_nonfinite_counts(spark, sf_dir):
     return op.violation_counts(op.weather_silver(bronze, "keep"), weather_rules(), ["station_id"])
 
 
+# ---- offsets ---------------------------------------------------------------------
+
+
+def _patchy_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One topic partition that lost some runs of messages and got some twice."""
+    envelope = staging.bike_envelope(staging.read_events(spark, sf_dir)).withColumn("partition", F.lit(0))
+    n = F.col("offset")
+    there = envelope.where(~((n % 97).between(5, 7)) & ~((n % 1000).between(400, 480)))
+    again = there.where(n % 53 == 0)
+    return _bronze(there.unionAll(again).unionAll(again.where(n % 2 == 0)))
+
+
+@query
+def offset_gaps(spark, sf_dir):
+    """Blocks far smaller than the default, so that runs end in later blocks too."""
+    return op.offset_gaps(_patchy_bronze(spark, sf_dir), block=64)
+
+
+@query
+def offset_repeats(spark, sf_dir):
+    return op.offset_repeats(_patchy_bronze(spark, sf_dir))
+
+
+@query
+def offsets_once(spark, sf_dir):
+    """Repeated messages taken out of bronze again."""
+    return op.without_repeats(_patchy_bronze(spark, sf_dir))
+
+
 # ---- client reads ----------------------------------------------------------------
 
 
@@ -420,6 +451,35 @@ def table_compacted(spark, sf_dir):
     return read_table(spark, target, S.SILVER_WEATHER)
 
 
+@query
+def table_compacted_twice(spark, sf_dir):
+    """The same dates copied again replace the copy."""
+    layout = LakeLayout(scratch_dir(spark, "table_compacted_twice"))
+    source, target = LakeLayout(f"{layout.base}/small"), LakeLayout(f"{layout.base}/few")
+    write_table(_weather(spark, sf_dir), source, S.SILVER_WEATHER)
+    for _ in range(2):
+        rewrite_compact(spark, source, target, S.SILVER_WEATHER)
+    return read_table(spark, target, S.SILVER_WEATHER)
+
+
+@query
+def table_expired(spark, sf_dir):
+    """Whole dates deleted; what stays is what ``retained`` keeps."""
+    layout = LakeLayout(scratch_dir(spark, "table_expired"))
+    write_table(_bike(spark, sf_dir), layout, S.SILVER_BIKE)
+    expire(spark, layout, S.SILVER_BIKE, RETENTION_AS_OF, 20)
+    return read_table(spark, layout, S.SILVER_BIKE)
+
+
+@query
+def stream_expired(spark, sf_dir):
+    """The same beside the log of a streaming sink, which goes on naming the deleted files."""
+    layout = LakeLayout(f"{scratch_dir(spark, 'stream_expired')}/lake")
+    _job(spark, layout, {"bike": staging.bike_envelope(staging.stream_events(spark, sf_dir))}, one_parse=False).run_available([S.SILVER_BIKE])
+    expire(spark, layout, S.SILVER_BIKE, RETENTION_AS_OF, 20)
+    return read_table(spark, layout, S.SILVER_BIKE)
+
+
 @query
 def table_batch_then_stream(spark, sf_dir):
     """Half of the rows written in batch, half by a stream, in one table."""
@@ -473,12 +533,12 @@ def sql_rain_and_usage(spark, sf_dir):
 # ---- streams ---------------------------------------------------------------------
 
 
-def _job(spark: SparkSession, layout: LakeLayout, sources: dict) -> LakeJob:
+def _job(spark: SparkSession, layout: LakeLayout, sources: dict, **options) -> LakeJob:
     return LakeJob(
         spark,
         layout,
         sources,
-        lake_flows(quarantine=True, ingest_time=_ingest_time()),
+        lake_flows(quarantine=True, ingest_time=_ingest_time(), **options),
         shuffle_partitions=spark.sparkContext.defaultParallelism,
     )
 
@@ -510,7 +570,7 @@ def _publish(spark: SparkSession, sf_dir: str, sources: dict, files: int | None
         publish(make[topic](events), folder)
 
 
-def _bounded(spark: SparkSession, sf_dir: str, spec: S.TableSpec, topic: str, cut: date | None = None):
+def _bounded(spark: SparkSession, sf_dir: str, spec: S.TableSpec, topic: str, cut: date | None = None, fills: int = 1):
     """Many unordered files per topic, worked off in bounded batches, with more shuffle partitions
     than cores. With ``cut``, earlier dates are filled in batch and the stream starts there."""
     base = scratch_dir(spark, f"bounded_{spec.name}")
@@ -528,7 +588,8 @@ def _bounded(spark: SparkSession, sf_dir: str, spec: S.TableSpec, topic: str, cu
     if cut:
         silver = S.SILVER_BIKE if topic == "bike" else S.SILVER_WEATHER
         job.run_available([silver])
-        backfill_summaries(spark, layout, cut, only=(spec,))
+        for _ in range(fills):
+            backfill_summaries(spark, layout, cut, only=(spec,))
     late = job.run_available([spec])[spec.view_name]["late_rows_dropped"]
     if late:
         raise AssertionError(f"{late} late rows")
@@ -550,6 +611,109 @@ def stream_bike_daily_backfilled(spark, sf_dir):
     return _bounded(spark, sf_dir, S.GOLD_BIKE_DAILY, "bike", BACKFILL_UNTIL)
 
 
+@query
+def stream_bike_daily_backfilled_twice(spark, sf_dir):
+    """The backfill is run again, as after a failure, and adds nothing."""
+    return _bounded(spark, sf_dir, S.GOLD_BIKE_DAILY, "bike", BACKFILL_UNTIL, fills=2)
+
+
+@query
+def stream_weather_hourly_backfilled_twice(spark, sf_dir):
+    """Hourly windows of one event date lie under two partition dates."""
+    return _bounded(spark, sf_dir, S.GOLD_WEATHER_HOURLY, "weather", BACKFILL_UNTIL, fills=2)
+
+
+def _with_forgotten(spark: SparkSession, sf_dir: str, name: str, backfilled: bool) -> LakeLayout:
+    """A lake whose daily summary lacks rows: every fiftieth event of the first days came after its day was
+    summarised, by a stream, or in batch with the stream starting at a later date."""
+    base = scratch_dir(spark, name)
+    layout = LakeLayout(f"{base}/lake")
+    folder = EnvelopeFolder(f"{base}/topics/bike")
+    events = staging.read_events(spark, sf_dir)
+    late = (F.col("event_id") % 50 == 7) & (F.col("ts") < F.lit(FORGOTTEN_BEFORE.isoformat()).cast("timestamp_ntz"))
+    publish(staging.bike_envelope(events.where(~late)), folder)
+    cut = FORGOTTEN_BEFORE if backfilled else None
+    job = _job(spark, layout, {"bike": folder}, summaries_from=cut)
+    if backfilled:
+        job.run_available([S.SILVER_BIKE])
+        backfill_summaries(spark, layout, cut, only=(S.GOLD_BIKE_DAILY,))
+    job.run_available([S.GOLD_BIKE_DAILY])
+    # What comes late has later offsets.
+    publish(staging.bike_envelope(events.where(late)).withColumn("offset", F.col("offset") + 10**9), folder)
+    job.run_available([S.GOLD_BIKE_DAILY])
+    return layout
+
+
+@query
+def late_rows_table(spark, sf_dir):
+    """The rows themselves, told apart from those that were summarised in the same windows."""
+    return _rounded(late_rows(spark, _with_forgotten(spark, sf_dir, "late_rows_table", False), S.GOLD_BIKE_DAILY))
+
+
+@query
+def late_windows_after_backfill(spark, sf_dir):
+    """Windows whose rows came after the backfill, which no watermark ever saw."""
+    layout = _with_forgotten(spark, sf_dir, "late_windows", True)
+    gaps = summary_gaps(spark, layout, S.GOLD_BIKE_DAILY)
+    return gaps.select("station_id", "bike_city", "window_start", "window_end", "n_rows", "n_summarised", "n_missed", "n_summaries")
+
+
+@query
+def restated_bike_daily(spark, sf_dir):
+    layout = _with_forgotten(spark, sf_dir, "restated", False)
+    for _ in range(2):
+        restate(spark, layout, S.GOLD_BIKE_DAILY)
+    return _rounded(read_table(spark, layout, S.GOLD_BIKE_DAILY))
+
+
+@query
+def restated_after_backfill(spark, sf_dir):
+    layout = _with_forgotten(spark, sf_dir, "restated_backfill", True)
+    restate(spark, layout, S.GOLD_BIKE_DAILY, until=FORGOTTEN_BEFORE)
+    return _rounded(read_table(spark, layout, S.GOLD_BIKE_DAILY))
+
+
+@query
+def stream_open_windows(spark, sf_dir):
+    """What the stream has read and not yet written: the windows in its state."""
+    layout = LakeLayout(f"{scratch_dir(spark, 'stream_open_windows')}/lake")
+    _job(spark, layout, {"bike": staging.bike_envelope(staging.stream_events(spark, sf_dir))}).run_available([S.GOLD_BIKE_DAILY])
+    return open_windows(spark, layout, S.GOLD_BIKE_DAILY)
+
+
+@query
+def stream_weather_bike_hourly(spark, sf_dir):
+    """Two windowed aggregates and their join in one stream."""
+    layout = LakeLayout(f"{scratch_dir(spark, 'stream_weather_bike')}/lake")
+    events = staging.stream_events(spark, sf_dir)
+    sources = {"bike": staging.bike_envelope(events), "weather": staging.weather_envelope(events)}
+    _job(spark, layout, sources, joined=True).run_available([S.GOLD_WEATHER_BIKE])
+    return _rounded(read_table(spark, layout, S.GOLD_WEATHER_BIKE))
+
+
+@query
+def stream_silver_with_quarantine(spark, sf_dir):
+    """Silver from the flow that fills the quarantine from the same parse; the topic comes in several files."""
+    base = scratch_dir(spark, "stream_silver_with_quarantine")
+    layout, folder = LakeLayout(f"{base}/lake"), EnvelopeFolder(f"{base}/topics/bike", max_files_per_trigger=1)
+    events = staging.read_events(spark, sf_dir).repartition(3, "event_id")
+    publish(staging.with_broken_texts(staging.bike_envelope(events)), folder)
+    _job(spark, layout, {"bike": folder}).run_available([S.SILVER_BIKE, S.QUARANTINE_BIKE])
+    return _rounded(read_table(spark, layout, S.SILVER_BIKE))
+
+
+@query
+def stream_quality_totals(spark, sf_dir):
+    """The counts a stream observes on its way into silver, summed over its batches."""
+    layout = LakeLayout(f"{scratch_dir(spark, 'stream_quality_totals')}/lake")
+    readings = staging.with_weather_faults(staging.weather_readings(staging.stream_events(spark, sf_dir)))
+    envelope = staging.with_broken_texts(staging.enveloped(readings, "weather", S.WEATHER_EVENT.names))
+    seen = _job(spark, layout, {"weather": envelope}).run_available([S.SILVER_WEATHER])
+    observed = seen[S.SILVER_WEATHER.view_name]["observed"]
+    counts = {**observed["messages"], **observed["quality"]}
+    return spark.createDataFrame([tuple(counts.values())], ", ".join(f"{name} long" for name in counts))
+
+
 @query
 def stream_bike_hourly_composed(spark, sf_dir):
     """Topic to summary in one plan."""

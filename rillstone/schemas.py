@@ -161,6 +161,10 @@ class TableSpec:
     * ``"hash"``: shuffle by the partition columns. Only for aggregate output, whose
       rows per partition are bounded by windows per day, not by events.
 
+    ``audit`` are columns that are stored beside the declared ones and read only on request: where a
+    silver row lay in its topic, and what went into a summary row. ``keys`` name a summary's row
+    within its window.
+
     ``spread_by`` divides one partition among several writers by a hash of the named
     columns, for ``"hash"`` tables whose partitions hold every station. The writers are a
     quarter of the session's shuffle partitions.
@@ -172,6 +176,12 @@ class TableSpec:
     partitions: tuple[str, ...]
     clustering: str = "none"
     spread_by: tuple[str, ...] = ()
+    audit: StructType = StructType([])
+    keys: tuple[str, ...] = ()
+
+    @property
+    def stored_schema(self) -> StructType:
+        return StructType([*self.schema.fields, *self.audit.fields])
 
     @property
     def path(self) -> str:
@@ -183,24 +193,44 @@ class TableSpec:
 
 
 _DAY_STATION = ("dt", "station_id")
+_PLACE = _columns(source_partition=INT, source_offset=LONG)
+_SUMMARISED = _columns(n_rows=LONG, last_offset=LONG, least_partition=INT, most_partition=INT)
+_BIKE_KEYS, _WEATHER_KEYS = ("station_id", "bike_city"), ("station_id", "weather_city")
+
+
+def _silver(name: str, schema: StructType) -> TableSpec:
+    return TableSpec("silver", name, schema, _DAY_STATION, "rebalance", audit=_PLACE)
+
+
+# Weather and usage of one station and hour, side by side; filled on request only.
+_WEATHER_BIKE = _columns(
+    station_id=TEXT,
+    window_start=TIME,
+    dt=DATE,
+    weather_city=TEXT,
+    avg_temp_c_hour=REAL,
+    sum_precip_mm_hour=REAL,
+    bike_city=TEXT,
+    bikes_occupied_hour=LONG,
+    utilization_rate_avg_hour=REAL,
+)
+
+
+def _gold(name: str, schema: StructType, keys: tuple[str, ...], partitions=_DAY_STATION, spread_by=()) -> TableSpec:
+    return TableSpec("gold", name, schema, partitions, "hash", spread_by, _SUMMARISED, keys)
+
 
 BRONZE_BIKE = TableSpec("bronze", "bike", _BRONZE, ("dt",))
 BRONZE_WEATHER = TableSpec("bronze", "weather", _BRONZE, ("dt",))
-SILVER_BIKE = TableSpec("silver", "bike_events", _SILVER_BIKE, _DAY_STATION, "rebalance")
-SILVER_WEATHER = TableSpec("silver", "weather_events", _SILVER_WEATHER, _DAY_STATION, "rebalance")
-GOLD_BIKE_HOURLY = TableSpec(
-    "gold", "bike_usage_hourly", _bike_usage("hour"), _DAY_STATION, "hash"
-)
-GOLD_BIKE_DAILY = TableSpec("gold", "bike_usage_daily", _bike_usage("day"), _DAY_STATION, "hash")
-GOLD_WEATHER_HOURLY = TableSpec(
-    "gold", "weather_hourly", _weather_summary("hour"), _DAY_STATION, "hash"
-)
-GOLD_WEATHER_DAILY = TableSpec(
-    "gold", "weather_daily", _weather_summary("day"), _DAY_STATION, "hash"
-)
-GOLD_BIKE_MINUTE = TableSpec(
-    "gold", "bike_minute", _BIKE_MINUTE, ("dt",), "hash", ("station_id",)
-)
+SILVER_BIKE = _silver("bike_events", _SILVER_BIKE)
+SILVER_WEATHER = _silver("weather_events", _SILVER_WEATHER)
+GOLD_BIKE_HOURLY = _gold("bike_usage_hourly", _bike_usage("hour"), _BIKE_KEYS)
+GOLD_BIKE_DAILY = _gold("bike_usage_daily", _bike_usage("day"), _BIKE_KEYS)
+GOLD_WEATHER_HOURLY = _gold("weather_hourly", _weather_summary("hour"), _WEATHER_KEYS)
+GOLD_WEATHER_DAILY = _gold("weather_daily", _weather_summary("day"), _WEATHER_KEYS)
+GOLD_BIKE_MINUTE = _gold("bike_minute", _BIKE_MINUTE, _BIKE_KEYS, ("dt",), ("station_id",))
+
+GOLD_WEATHER_BIKE = TableSpec("gold", "weather_bike_hourly", _WEATHER_BIKE, _DAY_STATION, "hash")
 
 # Optional side tables: what strict parsing refused, with its raw text.
 QUARANTINE_BIKE = TableSpec("quarantine", "bike", _BRONZE, ("dt",))

@@ -5,6 +5,7 @@ from rillstone.sources.envelope import (
     read_envelope_stream,
     to_envelope,
 )
+from rillstone.sources.expiry import expire, expired_before
 from rillstone.sources.tables import (
     arrange,
     ensure_table,
@@ -19,6 +20,8 @@ __all__ = [
     "KafkaTopic",
     "arrange",
     "ensure_table",
+    "expire",
+    "expired_before",
     "publish",
     "read_envelope_stream",
     "read_table",

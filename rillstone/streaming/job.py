@@ -15,7 +15,8 @@ from rillstone.session import settings, streaming_options
 from rillstone.sources.envelope import EnvelopeFolder, KafkaTopic, read_envelope_stream
 from rillstone.sources.tables import ensure_table, stream_table
 from rillstone.streaming.flows import Flow, lake_flows
-from rillstone.streaming.writer import write_table_stream
+from rillstone.streaming.progress import listen
+from rillstone.streaming.writer import write_table_stream, write_tables_stream
 
 Source = KafkaTopic | EnvelopeFolder | DataFrame
 
@@ -60,22 +61,27 @@ class LakeJob:
         self.max_bytes_per_trigger = max_bytes_per_trigger
         self.shuffle_partitions = shuffle_partitions
         self.queries: dict[str, StreamingQuery] = {}
-        self._totals: dict[str, dict] = {}
+        self._reports = listen(spark)
         self._check_flows()
 
     def _check_flows(self) -> None:
-        targets = [flow.target.view_name for flow in self.flows]
+        targets = [target.view_name for flow in self.flows for target in flow.targets]
         twice = {t for t in targets if targets.count(t) > 1}
         if twice:
             raise ValueError(f"more than one flow fills {sorted(twice)}")
-        by_target = {flow.target: flow for flow in self.flows}
+        by_target = self._by_target()
         for flow in self.flows:
-            passed, at = {flow.target}, flow
-            while isinstance(at.source, TableSpec) and at.source in by_target:
-                if at.source in passed:
+            above, frontier = set(), list(flow.sources)
+            while frontier:
+                source = frontier.pop()
+                if source in flow.targets:
                     raise ValueError(f"{flow.target.view_name} is made from itself")
-                passed.add(at.source)
-                at = by_target[at.source]
+                if source in by_target and source not in above:
+                    above.add(source)
+                    frontier += by_target[source].sources
+
+    def _by_target(self) -> dict[TableSpec, Flow]:
+        return {target: flow for flow in self.flows for target in flow.targets}
 
     def start(self) -> dict[str, StreamingQuery]:
         """Start every flow; each follows its source until stopped. All or none run."""
@@ -93,7 +99,6 @@ class LakeJob:
         try:
             while all(query.isActive for query in running):
                 running[0].awaitTermination(poll_seconds)
-                self._count()
         except StreamingQueryException:
             pass
         finally:
@@ -108,8 +113,8 @@ class LakeJob:
         """
         waiting = self._needed(only)
         while waiting:
-            pending = {flow.target for flow in waiting}
-            ready = [flow for flow in waiting if flow.source not in pending]
+            pending = {target for flow in waiting for target in flow.targets}
+            ready = [flow for flow in waiting if pending.isdisjoint(flow.sources)]
             started = self._start_all(ready, available_now=True)
             try:
                 active = started
@@ -117,7 +122,6 @@ class LakeJob:
                     # The first to fail is reported at once, not after those before it.
                     for query in active:
                         query.awaitTermination(0.2)
-                    self._count()
                     active = [query for query in active if query.isActive]
             except StreamingQueryException:
                 self.stop()
@@ -130,54 +134,36 @@ class LakeJob:
             query.stop()
 
     def progress(self) -> dict[str, dict]:
-        """Per flow: batches and rows seen, late rows dropped, newest watermark.
+        """Per flow: batches and rows seen, late rows dropped, newest watermark, what it observed.
 
-        Sums run over the whole time since the flow was started, as long as the job polls
-        (``run``, ``wait``, ``run_available`` or this) at least once in the hundred batches
-        whose reports Spark keeps.
+        Sums run over the whole time since the flow was started, whether or not anyone asked in
+        between. A flow that has ended is waited for until its last report is in.
         """
-        self._count()
+        return {name: self._progress_of(query) for name, query in self.queries.items()}
+
+    def _progress_of(self, query: StreamingQuery) -> dict:
+        total = self._reports.totals(query)
         return {
-            name: {
-                **{k: v for k, v in self._totals[name].items() if k not in ("run", "seen")},
-                "active": query.isActive,
-            }
-            for name, query in self.queries.items()
+            "batches": len(total.batches),
+            "rows_in": total.rows_in,
+            "late_rows_dropped": total.late_rows_dropped,
+            "watermark": total.watermark,
+            "observed": {name: dict(sums) for name, sums in total.observed.items()},
+            "active": query.isActive,
         }
 
-    def _count(self) -> None:
-        """Add the reports that came since the last look."""
-        for name, query in self.queries.items():
-            total = self._totals.get(name)
-            if total is None or total["run"] != query.runId:
-                total = self._totals[name] = {
-                    "run": query.runId, "seen": ("", -1), "batches": 0, "rows_in": 0,
-                    "late_rows_dropped": 0, "watermark": None,
-                }
-            for report in query.recentProgress:
-                place = (report.timestamp, report.batchId)
-                if place <= total["seen"]:
-                    continue
-                total["batches"] += report.batchId != total["seen"][1]
-                total["seen"] = place
-                total["rows_in"] += report.numInputRows
-                total["late_rows_dropped"] += sum(o.numRowsDroppedByWatermark for o in report.stateOperators)
-                total["watermark"] = report.eventTime.get("watermark") or total["watermark"]
-
     def _needed(self, only: Iterable[TableSpec] | None) -> list[Flow]:
         if only is None:
             return list(self.flows)
-        by_target = {flow.target: flow for flow in self.flows}
+        by_target = self._by_target()
         wanted: set[TableSpec] = set()
         frontier = list(only)
         while frontier:
             spec = frontier.pop()
             if spec not in by_target:
                 raise ValueError(f"no flow fills {spec.view_name}")
-            wanted.add(spec)
-            source = by_target[spec].source
-            if isinstance(source, TableSpec):
-                frontier.append(source)
+            wanted.add(by_target[spec].target)
+            frontier += [source for source in by_target[spec].sources if isinstance(source, TableSpec)]
         return [flow for flow in self.flows if flow.target in wanted]
 
     def _start_all(self, flows: Iterable[Flow], available_now: bool) -> list[StreamingQuery]:
@@ -190,14 +176,15 @@ class LakeJob:
     def _start(self, flow: Flow, available_now: bool) -> StreamingQuery:
         options = streaming_options(self.spark, self.shuffle_partitions)
         with settings(self.spark, options):
-            query = write_table_stream(
-                flow.transform(self._read(flow.source, flow.summary)),
-                self.layout,
-                flow.target,
-                every=flow.every,
-                available_now=available_now,
-            )
-        self.queries[flow.target.view_name] = query
+            rows = flow.transform(*[self._read(source, flow.summary) for source in flow.sources])
+            how = {"every": flow.every, "available_now": available_now}
+            if flow.also:
+                for target in flow.targets:
+                    ensure_table(self.spark, self.layout, target)
+                query = write_tables_stream(rows, self.layout, flow.targets, **how)
+            else:
+                query = write_table_stream(flow.targets[flow.target](rows), self.layout, flow.target, **how)
+        self.queries |= {target.view_name: query for target in flow.targets}
         return query
 
     def _read(self, source: str | TableSpec, whole: bool) -> DataFrame:
@@ -209,6 +196,7 @@ class LakeJob:
                 source,
                 None if whole else self.max_files_per_trigger,
                 None if whole else self.max_bytes_per_trigger,
+                audit=True,
             )
         origin = self.sources[source]
         if isinstance(origin, DataFrame):

@@ -60,7 +60,7 @@ def compare(spark: SparkSession, con, name: str, sf_dir: str) -> str:
         return f"columns {sorted(frame.columns)} vs {sorted(columns)}"
     same_type = {
         "string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE",
-        "date": "DATE", "timestamp": "TIMESTAMP",
+        "date": "DATE", "timestamp": "TIMESTAMP", "boolean": "BOOLEAN",
     }
     for column, kind in frame.dtypes:
         if same_type.get(kind) != kinds[column]:

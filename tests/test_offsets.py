@@ -1,0 +1,64 @@
+"""Offsets that are missing or there twice, against plain Python."""
+
+from __future__ import annotations
+
+import random
+from datetime import date
+
+import pytest
+from helpers import bronze, rows_of
+from pyspark.sql import functions as F
+
+from rillstone.operators import offset_gaps, offset_repeats, without_repeats
+
+
+def messages(spark, rows):
+    """(partition, offset, value) rows as bronze."""
+    frame = spark.createDataFrame(rows, "p int, o long, v string")
+    base = bronze(spark, []).columns
+    empty = bronze(spark, ["x"]).limit(1)
+    joined = frame.crossJoin(empty.drop("partition", "offset", "value"))
+    return joined.withColumnsRenamed({"p": "partition", "o": "offset", "v": "value"}).select(*base)
+
+
+def slow_gaps(rows):
+    out = []
+    for p in {r[0] for r in rows}:
+        there = sorted({o for q, o, _ in rows if q == p and o is not None})
+        out += [("bike", p, a + 1, b - 1, b - a - 1) for a, b in zip(there, there[1:]) if b > a + 1]  # noqa: B905
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("block", [1, 7, 64, 1 << 20])
+def test_gaps(spark, block):
+    r = random.Random(block)
+    rows = [(p, o, "v") for p in (0, 1, 2) for o in range(300) if r.random() < 0.6 and not 100 <= o < 180 + p]
+    rows += [(1, 5_000_000_000, "v"), (1, 5_000_000_001, "v"), (3, 9, "v"), (None, 4, "v"), (None, 6, "v"), (0, None, "v")]
+    rows += r.sample(rows, 60)
+    assert rows_of(offset_gaps(messages(spark, rows), block=block)) == slow_gaps(rows)
+
+
+def test_hot_partition_is_never_one_window(spark):
+    rows = spark.range(0, 40_000, 1, 4).where("id % 1000 <> 7").selectExpr("'t' topic", "0 partition", "id offset", "date'2024-01-01' dt")
+    found = offset_gaps(rows, block=512)
+    assert found.count() == 40
+    windows = [line for line in found._jdf.queryExecution().optimizedPlan().toString().splitlines() if "lag(offset" in line]
+    assert windows and all("block" in line for line in windows)
+
+
+def test_dates_prune_and_empty(spark):
+    rows = messages(spark, [(0, 1, "a"), (0, 5, "b")])
+    taken = rows.withColumn("dt", F.when(F.col("offset") == 1, F.lit(date(2024, 1, 1))).otherwise(F.lit(date(2024, 1, 2))))
+    assert offset_gaps(taken, until=date(2024, 1, 2)).count() == 0
+    assert offset_gaps(taken, since=date(2024, 1, 1)).count() == 1
+    assert offset_gaps(rows.limit(0)).count() == 0 and offset_repeats(rows.limit(0)).count() == 0
+
+
+def test_repeats(spark):
+    rows = [(0, 1, "a"), (0, 1, "a"), (0, 2, "a"), (0, 3, None), (0, 3, None), (0, 3, None), (1, 1, "x"), (1, 1, "y"), (0, None, "n"), (0, None, "n")]
+    found = messages(spark, rows)
+    assert rows_of(offset_repeats(found)) == [("bike", 0, 1, 2, True), ("bike", 0, 3, 3, True), ("bike", 1, 1, 2, False)]
+    once = without_repeats(found)
+    assert once.columns == found.columns
+    kept = rows_of(once.select("partition", "offset", "value"))
+    assert kept == sorted([(0, 1, "a"), (0, 2, "a"), (0, 3, None), (1, 1, "x"), (0, None, "n"), (0, None, "n")], key=repr)
