@@ -34,10 +34,20 @@ class LakeLayout:
         """Windows that were summarised again; they stand in place of those elsewhere."""
         return f"{self.base.rstrip('/')}/_restated/{spec.path}"
 
+    def compacted_table(self, spec: TableSpec) -> str:
+        """Rows of the batch folder that were rewritten into few files, a folder for each run."""
+        return f"{self.base.rstrip('/')}/_compacted/{spec.path}"
+
+    def compacting(self, spec: TableSpec) -> str:
+        return f"{self.base.rstrip('/')}/_compacting/{spec.path}"
+
+    def compaction_note(self, spec: TableSpec) -> str:
+        return f"{self.base.rstrip('/')}/_compaction_notes/{spec.path}"
+
     def folders(self, spec: TableSpec) -> list[str]:
         """All folders that hold rows of the table."""
-        every = [self.table(spec), self.batch_table(spec), self.filled_table(spec), self.restated_table(spec)]
-        return list(dict.fromkeys(every))
+        appended = [self.table(spec), self.batch_table(spec)]
+        return list(dict.fromkeys([*appended, self.compacted_table(spec), self.filled_table(spec), self.restated_table(spec)]))
 
     def expiry_marks(self, spec: TableSpec) -> str:
         return f"{self.base.rstrip('/')}/_expired/{spec.path}"

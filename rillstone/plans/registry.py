@@ -22,7 +22,9 @@ from rillstone.operators.quality import bike_rules, weather_rules
 from rillstone.session import scratch_dir
 from rillstone.sources import (
     EnvelopeFolder,
+    compact,
     expire,
+    newest,
     publish,
     read_table,
     rewrite_compact,
@@ -440,6 +442,24 @@ def table_recent_weather_hourly(spark, sf_dir):
     return _rounded(op.recent_weather_hourly(stored))
 
 
+@query
+def newest_bike_one_station(spark, sf_dir):
+    """Newest rows of a stored table by its newest folders alone, here for one station."""
+    layout = LakeLayout(scratch_dir(spark, "newest_bike"))
+    write_table(_bike(spark, sf_dir), layout, S.SILVER_BIKE)
+    rows = newest(spark, layout, S.SILVER_BIKE, 25, F.col("station_id") == "S007")
+    return op.recent_bike(rows, "S007", 25, newest_partitions=None)
+
+
+@query
+def newest_weather_hourly(spark, sf_dir):
+    """The same of a summary that was filled in batch, whose folders are named by the windows' start."""
+    layout = LakeLayout(scratch_dir(spark, "newest_weather_hourly"))
+    write_table(_weather(spark, sf_dir), layout, S.SILVER_WEATHER)
+    backfill_summaries(spark, layout, date(2024, 3, 1), only=(S.GOLD_WEATHER_HOURLY,))
+    return _rounded(op.recent_weather_hourly(newest(spark, layout, S.GOLD_WEATHER_HOURLY, 200), newest_partitions=None))
+
+
 @query
 def table_compacted(spark, sf_dir):
     """A table of many small files, copied with few."""
@@ -462,6 +482,17 @@ def table_compacted_twice(spark, sf_dir):
     return read_table(spark, target, S.SILVER_WEATHER)
 
 
+@query
+def table_compacted_in_place(spark, sf_dir):
+    """Small files of closed dates replaced twice, with rows appended to them in between."""
+    layout = LakeLayout(scratch_dir(spark, "table_compacted_in_place"))
+    for turn in range(3):
+        write_table(_bike(spark, sf_dir).where(F.pmod("bikes_available", F.lit(3)) == turn), layout, S.SILVER_BIKE)
+        if turn:
+            compact(spark, layout, S.SILVER_BIKE, CLOSED_BEFORE)
+    return _rounded(read_table(spark, layout, S.SILVER_BIKE))
+
+
 @query
 def table_expired(spark, sf_dir):
     """Whole dates deleted; what stays is what ``retained`` keeps."""

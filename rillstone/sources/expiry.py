@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 
 from rillstone.layout import LakeLayout
 from rillstone.schemas import TableSpec
-from rillstone.sources.files import Files, partition_value
+from rillstone.sources.files import Files, partition_folders, partition_value
 
 _NO_DATE = "__HIVE_DEFAULT_PARTITION__"
 
@@ -41,20 +41,20 @@ def expire(spark: SparkSession, layout: LakeLayout, spec: TableSpec, as_of: date
     files.mark(f"{layout.expiry_marks(spec)}/{keep_from.isoformat()}")
     gone = []
     for folder in layout.folders(spec):
-        gone += _dates_below(files, folder, keep_from)
-        for name in files.names(folder):
-            start = partition_value(name, "from_dt")
-            if start is not None and date.fromisoformat(start) < keep_from:
-                gone += _dates_below(files, f"{folder}/{name}", keep_from)
+        for path in partition_folders(files, folder):
+            start = partition_value(path.rpartition("/")[2], "from_dt")
+            if start is None:
+                gone += _expired(path, keep_from)
+            elif date.fromisoformat(start) < keep_from:
+                for below in partition_folders(files, path):
+                    gone += _expired(below, keep_from)
     for path in gone:
         files.delete(path)
     return gone
 
 
-def _dates_below(files: Files, folder: str, keep_from: date) -> list[str]:
-    found = []
-    for name in files.names(folder):
-        value = partition_value(name, "dt")
-        if name == f"dt={_NO_DATE}" or (value is not None and date.fromisoformat(value) < keep_from):
-            found.append(f"{folder}/{name}")
-    return found
+def _expired(path: str, keep_from: date) -> list[str]:
+    name = path.rpartition("/")[2]
+    value = partition_value(name, "dt")
+    old = name == f"dt={_NO_DATE}" or (value is not None and date.fromisoformat(value) < keep_from)
+    return [path] if old else []

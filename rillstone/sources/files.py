@@ -9,6 +9,7 @@ class Files:
     """The file system that holds ``base``; paths are full paths as Spark takes them."""
 
     def __init__(self, spark: SparkSession, base: str) -> None:
+        self.spark = spark
         self._path = spark._jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(base).getFileSystem(spark._jsc.hadoopConfiguration())
 
@@ -33,7 +34,7 @@ class Files:
         return sorted(found)
 
     def move(self, source: str, target: str) -> None:
-        """One file, into a folder that is made if need be. An existing target is an error."""
+        """A file or a folder, into a folder that is made if need be. An existing target is an error."""
         to = self._path(target)
         self._fs.mkdirs(to.getParent())
         if self._fs.exists(to) or not self._fs.rename(self._path(source), to):
@@ -48,6 +49,17 @@ class Files:
         self._fs.delete(self._path(path), True)
 
 
+def partition_folders(files: Files, folder: str) -> list[str]:
+    """Paths of a table folder's partition folders, also where each run has a folder of its own above them."""
+    found = []
+    for name in files.names(folder):
+        if partition_value(name, "run") is not None:
+            found += partition_folders(files, f"{folder}/{name}")
+        elif "=" in name:
+            found.append(f"{folder}/{name}")
+    return found
+
+
 def partition_value(name: str, column: str) -> str | None:
     """The value in a folder name ``column=value``; None for other names and for missing values."""
     key, sep, value = name.partition("=")

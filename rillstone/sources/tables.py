@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import replace
-from datetime import date
+from datetime import date, timedelta
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 
 from rillstone.layout import LakeLayout
 from rillstone.schemas import TableSpec
+from rillstone.sources.compaction import replaced_files
 from rillstone.sources.envelope import MAX_FILE_AGE
 from rillstone.sources.expiry import expired_before
+from rillstone.sources.files import Files, partition_folders, partition_value
 
 
 #: Partition level of tables whose event dates are replaced as a whole: the date a window starts on.
@@ -26,55 +28,89 @@ def _appended(layout: LakeLayout, spec: TableSpec) -> list[str]:
     return list(dict.fromkeys([layout.table(spec), layout.batch_table(spec)]))
 
 
-def _load(spark: SparkSession, layout: LakeLayout, spec: TableSpec, path: str) -> DataFrame | None:
-    """All stored columns of one folder, or None where there is no such folder."""
-    reader = spark.read.format(layout.fmt)
+def _load(
+    spark: SparkSession,
+    layout: LakeLayout,
+    spec: TableSpec,
+    path: str,
+    since: date | None = None,
+    without: DataFrame | None = None,
+) -> DataFrame | None:
+    """All stored columns of one folder, or None where there is no such folder. With ``since`` only
+    the folders of that date and later ones are listed, unless a streaming sink's log names the files.
+    ``without`` holds paths of files that are left out."""
+    reader, paths = spark.read.format(layout.fmt), [path]
     if layout.fmt != "delta":
         reader = reader.schema(spec.stored_schema)
+        files = Files(spark, path)
+        if since is not None and files.exists(path) and not files.exists(f"{path}/_spark_metadata"):
+            paths = [folder for folder in partition_folders(files, path) if _reaches(folder.rpartition("/")[2], since)]
+            reader = reader.option("basePath", path)
+            if not paths:
+                return None
     try:
-        rows = reader.load(path)
+        rows = reader.load(paths)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND" and "is not a Delta table" not in str(error):
             raise
         return None
+    if without is not None:
+        rows = rows.join(without, rows["_metadata.file_path"] == without["path"], "left_anti")
     return rows.select(
         *[F.col(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in spec.stored_schema]
     )
 
 
+def _reaches(name: str, since: date) -> bool:
+    """Whether a partition folder may hold rows of the date or a later one."""
+    dt, start = partition_value(name, "dt"), partition_value(name, FROM_DT)
+    if dt is not None:
+        return date.fromisoformat(dt) >= since
+    return start is not None and date.fromisoformat(start) >= since - timedelta(days=1)
+
+
 def read_table(
     spark: SparkSession,
     layout: LakeLayout,
     spec: TableSpec,
     missing_ok: bool = False,
     audit: bool = False,
+    since: date | None = None,
 ) -> DataFrame:
     """Snapshot of a table with its declared columns, types and column order.
 
     Rows written by streams and rows written in batch are one table; windows that were restated
     stand in place of the rows they correct; expired dates are left out. ``audit`` adds the spec's audit columns (null in files
-    written without them). A table that is in no folder is an error, or empty with ``missing_ok``.
+    written without them). ``since`` is the first partition date to be read; older folders are not
+    even listed. A table that is in no folder is an error, or empty with ``missing_ok``.
     """
-    paths = [*_appended(layout, spec), layout.filled_table(spec)]
-    parts = [rows for path in paths if (rows := _load(spark, layout, spec, path)) is not None]
+    replaced = replaced_files(spark, layout, spec)
+    parts = []
+    for path in [*_appended(layout, spec), layout.compacted_table(spec), layout.filled_table(spec)]:
+        rows = _load(spark, layout, spec, path, since, replaced if path == layout.batch_table(spec) else None)
+        if rows is not None:
+            parts.append(rows)
     shown = spec.stored_schema.names if audit else spec.schema.names
     if not parts:
-        if missing_ok:
+        if missing_ok or since is not None:
             return spark.createDataFrame([], spec.stored_schema).select(*shown)
         spark.read.format(layout.fmt).load(layout.table(spec))  # the reader's own error
     rows = reduce(DataFrame.unionAll, parts)
-    restated = restated_windows(spark, layout, spec)
+    restated = restated_windows(spark, layout, spec, since)
     if restated is not None:
         rows = _without(rows, restated, [*spec.keys, "window_start"]).unionAll(restated)
     kept_from = expired_before(spark, layout, spec)
-    if kept_from is not None:
-        rows = rows.where(F.col("dt") >= F.lit(kept_from))
+    since = max((d for d in (since, kept_from) if d is not None), default=None)
+    if since is not None:
+        rows = rows.where(F.col("dt") >= F.lit(since))
     return rows.select(*shown)
 
 
-def restated_windows(spark: SparkSession, layout: LakeLayout, spec: TableSpec) -> DataFrame | None:
+def restated_windows(
+    spark: SparkSession, layout: LakeLayout, spec: TableSpec, since: date | None = None
+) -> DataFrame | None:
     """All stored columns of the windows that were restated, or None where none were."""
-    return _load(spark, layout, spec, layout.restated_table(spec)) if spec.keys else None
+    return _load(spark, layout, spec, layout.restated_table(spec), since) if spec.keys else None
 
 
 def _without(rows: DataFrame, others: DataFrame, keys: list[str]) -> DataFrame:
