@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import SparkSession
 
+MOVES_AT_ONCE = 16
+
 
 class Files:
     """The file system that holds ``base``; paths are full paths as Spark takes them."""
@@ -22,17 +26,6 @@ class Files:
             return []
         return sorted(status.getPath().getName() for status in self._fs.listStatus(self._path(path)))
 
-    def files_below(self, path: str) -> list[tuple[str, str]]:
-        """(full path, path below the folder) of all data files under a folder."""
-        root = self._fs.makeQualified(self._path(path)).toUri().getPath().rstrip("/")
-        found, each = [], self._fs.listFiles(self._path(path), True)
-        while each.hasNext():
-            at = each.next().getPath()
-            below = at.toUri().getPath()[len(root) + 1 :]
-            if not any(part.startswith(("_", ".")) and "=" not in part for part in below.split("/")):
-                found.append((at.toString(), below))
-        return sorted(found)
-
     def move(self, source: str, target: str) -> None:
         """A file or a folder, into a folder that is made if need be. An existing target is an error."""
         to = self._path(target)
@@ -40,6 +33,16 @@ class Files:
         if self._fs.exists(to) or not self._fs.rename(self._path(source), to):
             raise OSError(f"cannot move {source} to {target}")
 
+    def move_all(self, files: list[tuple[str, str]]) -> None:
+        """Files, each to a name that no other file has; many at once, since a store may be far away."""
+        with ThreadPoolExecutor(MOVES_AT_ONCE) as pool:
+            list(pool.map(self._fs.mkdirs, [self._path(p) for p in {to.rpartition("/")[0] for _, to in files}]))
+            list(pool.map(lambda pair: self._rename(*pair), files))
+
+    def _rename(self, source: str, target: str) -> None:
+        if not self._fs.rename(self._path(source), self._path(target)):
+            raise OSError(f"cannot move {source} to {target}")
+
     def mark(self, path: str) -> None:
         """An empty file."""
         self._fs.create(self._path(path), True).close()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from urllib.parse import unquote, urlsplit
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -96,7 +97,8 @@ def publish_batch(df: DataFrame, layout: LakeLayout, spec: TableSpec, checkpoint
         return
     if not files.exists(f"{staged}/_SUCCESS"):
         rows.mode("overwrite").save(staged)
-    for path, below in files.files_below(staged):
-        files.move(path, f"{layout.batch_table(spec)}/{below}")
+    written = [unquote(urlsplit(path).path) for path in spark.read.schema(spec.stored_schema).format(layout.fmt).load(staged).inputFiles()]
+    places = [path[path.index(f"/staged/{number}/{spec.view_name}/") :].split("/", 4)[4] for path in written]
+    files.move_all([(f"{staged}/{place}", f"{layout.batch_table(spec)}/{place}") for place in places])
     files.mark(f"{staged}/_PUBLISHED")
     files.delete(f"{checkpoint}/staged/{number - STAGED_KEPT}")

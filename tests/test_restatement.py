@@ -204,20 +204,18 @@ def test_a_batch_given_again_adds_nothing(spark, place, monkeypatch):
         publish_batch(rows, place.layout, S.SILVER_BIKE, checkpoint, 4)
 
     def stop(after):
-        move, done = Files.move, []
+        move = Files.move_all
 
-        def moves(self, source, target):
-            if len(done) == after:
-                raise OSError("lost")
-            done.append(target)
-            move(self, source, target)
+        def moves(self, files):
+            move(self, files[:after])
+            raise OSError("lost")
 
         return moves
 
     # Stopped after no file and after one; then complete; then given twice more.
     for after in (0, 1):
         with monkeypatch.context() as patched:
-            patched.setattr(Files, "move", stop(after))
+            patched.setattr(Files, "move_all", stop(after))
             with pytest.raises(OSError):
                 publish_it()
     for _ in range(3):
