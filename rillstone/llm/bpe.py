@@ -33,12 +33,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from rillstone.llm import arrays
-from rillstone.llm.common import read
+from rillstone.llm.common import read, releasing
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Distinct pieces kept between batches by one Python worker.
 CACHE_PIECES = 1_000_000
 CHUNK_BYTES = 2 << 20
+#: Pieces given to the library at once: its results hold far more than the ids.
+PIECES_AT_ONCE = 8192
 
 
 def byte_characters() -> list[str]:
@@ -103,7 +105,9 @@ class ByteBpe:
 
     def encode_pieces(self, pieces: list[str]) -> list[list[int]]:
         """Ids of pieces, each spelled in the characters of the byte table."""
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        found: list[list[int]] = []
+        for k in range(0, len(pieces), PIECES_AT_ONCE):
+            found += [e.ids for e in self.tokenizer.encode_batch_fast(pieces[k : k + PIECES_AT_ONCE], add_special_tokens=False)]
         lengths = np.fromiter(map(len, found), np.int64, len(found))
         ids = np.fromiter((t for own in found for t in own), np.int64, int(lengths.sum()))
         doubtful = np.repeat(np.arange(len(found)), lengths)[self.overlapping[ids]]
@@ -297,7 +301,7 @@ def encode_documents(docs: DataFrame, id_column: str = "doc_id", text_column: st
     schema = f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
     if with_ids:
         schema += ", ids array<int>, decoded string"
-    found = docs.select(docs[id_column].alias("id"), docs[text_column].cast("string").alias("text")).mapInArrow(encode, schema)
+    found = docs.select(docs[id_column].alias("id"), docs[text_column].cast("string").alias("text")).mapInArrow(releasing(encode), schema)
     return found.withColumnRenamed("id", id_column)
 
 

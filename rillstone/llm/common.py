@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import math
 import uuid
+from collections.abc import Callable, Iterator
+from functools import wraps
+from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,3 +47,36 @@ def crc_remainder(doc_id: str, modulus: int):
 def docs_per_block(n: int) -> int:
     """Rows of one block: a task's worth. Grows with the root of the table, up to a fixed bound."""
     return min(16384, max(512, math.isqrt(n)))
+
+
+def release() -> None:
+    """Give back to the system what this process has freed.
+
+    A Python worker serves one task after another, and its allocators keep what a task has freed, so a worker would
+    go on holding the most that any task has needed.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+    if trim is not None:
+        trim(0)
+
+
+def releasing(task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """A function over a task's batches that ends by giving memory back."""
+
+    @wraps(task)
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from task(batches)
+        finally:
+            release()
+
+    return whole
+
+
+def released(task: Callable[..., pa.Table], *tables: Any) -> pa.Table:
+    """The result for one group; memory is given back afterwards."""
+    try:
+        return task(*tables)
+    finally:
+        release()

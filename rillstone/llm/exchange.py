@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillstone.llm.common import docs_per_block, fresh_name
+from rillstone.llm.common import docs_per_block, fresh_name, released
 
 ENTRIES = "block int, part int, hashes binary, facts binary"
 REPLIES = "block int, part int, reply binary"
@@ -111,5 +111,7 @@ def ask(
     schema: str,
 ) -> DataFrame:
     """Blocks -> entries -> replies -> blocks with their replies -> rows of ``schema``."""
-    replies = blocked.groupBy(block).applyInArrow(entries, ENTRIES).groupBy("part").applyInArrow(merge, REPLIES)
-    return blocked.groupBy(block).cogroup(replies.groupBy("block")).applyInArrow(apply, schema)
+    asked = blocked.groupBy(block).applyInArrow(lambda table: released(entries, table), ENTRIES)
+    replies = asked.groupBy("part").applyInArrow(lambda table: released(merge, table), REPLIES)
+    both = blocked.groupBy(block).cogroup(replies.groupBy("block"))
+    return both.applyInArrow(lambda table, answers: released(apply, table, answers), schema)
