@@ -26,6 +26,7 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
+from heapq import heappop, heappush
 
 import numpy as np
 import public_tokenizers
@@ -93,15 +94,42 @@ class ByteBpe:
         self.flat = np.frombuffer(b"".join(self.token_bytes), np.uint8)
 
     def merged(self, piece: bytes) -> list[int]:
-        """Ids of one piece, always merging the lowest rank, from the left."""
-        parts = [piece[i : i + 1] for i in range(len(piece))]
-        while len(parts) > 1:
-            found = [(self.ranks[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:], strict=False)) if a + b in self.ranks]
-            if not found:
-                break
-            i = min(found)[1]
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
-        return [self.ranks[p] for p in parts]
+        """Ids of one piece, always merging the lowest rank, from the left.
+
+        Neighbours that may merge wait in a heap by rank and place; an entry whose parts have merged
+        otherwise since is passed over. The work grows with n log n for n bytes.
+        """
+        n = len(piece)
+        after = list(range(1, n + 1))  # where the part that begins here ends
+        before = list(range(-1, n))  # where the part before it begins
+        heap: list[tuple[int, int, int]] = []
+
+        def offer(left: int) -> None:
+            if left >= 0 and after[left] < n:
+                end = after[after[left]]
+                rank = self.ranks.get(piece[left:end])
+                if rank is not None:
+                    heappush(heap, (rank, left, end))
+
+        for i in range(n - 1):
+            offer(i)
+        gone = bytearray(n)
+        while heap:
+            _, left, end = heappop(heap)
+            right = after[left]
+            if gone[left] or right >= n or after[right] != end:
+                continue
+            gone[right] = 1
+            after[left] = end
+            if end < n:
+                before[end] = left
+            offer(left)
+            offer(before[left])
+        ids, at = [], 0
+        while at < n:
+            ids.append(self.ranks[piece[at : after[at]]])
+            at = after[at]
+        return ids
 
     def encode_pieces(self, pieces: list[str]) -> list[list[int]]:
         """Ids of pieces, each spelled in the characters of the byte table."""

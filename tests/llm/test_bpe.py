@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import time
 
 import numpy as np
 import public_tokenizers as P
@@ -75,3 +76,11 @@ def test_a_full_cache_changes_nothing(ours, theirs, monkeypatch):
     monkeypatch.setattr(bpe, "CHUNK_BYTES", 100)
     texts = [t or "" for _, t in documents()][:40]
     assert encode(ours, texts) == [theirs.encode_ordinary(t) for t in texts]
+
+
+def test_long_runs_of_overlapping_tokens(ours, theirs):
+    for text in ("an" * 700, "ana" * 301 + "x", "hahaha" * 150, "es" * 333 + "e"):
+        assert ours.merged(text.encode()) == theirs.encode_ordinary(text)
+    began = time.process_time()
+    assert ours.decode(np.array(encode(ours, ["an" * 100_000])[0])).tobytes() == b"an" * 100_000
+    assert time.process_time() - began < 30  # two thousand letters took two seconds when the work was quadratic

@@ -32,7 +32,7 @@ def test_contract_has_every_query():
     import __spark_entry__ as contract
 
     names = contract.queries()
-    assert "pipeline" in names and {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{k}" for k in range(1, 11)}
+    assert "pipeline" in names and {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{k}" for k in range(1, 14)}
 
 
 def test_stages(spark, sf_dir):
