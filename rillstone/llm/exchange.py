@@ -1,6 +1,7 @@
 """Corpus-wide facts about hashes (of words, shingles, windows) in one shuffle of packed arrays.
 
-Documents are dealt into blocks by a hash of their id. Each block sends its distinct hashes, sorted
+Documents are dealt into blocks by a hash of id and text, so that many rows without an id, or with the
+same one, are spread like others. Each block sends its distinct hashes, sorted
 and packed, one row per hash range; a range sees what all blocks hold of its hashes and sends each
 block one packed reply in the order of its request; blocks and replies meet again by block.
 
@@ -47,7 +48,8 @@ def grid_for(docs: DataFrame, docs_per_part: int = 4096) -> Grid:
 
 def in_blocks(docs: DataFrame, id_column: str, grid: Grid) -> tuple[DataFrame, str]:
     name = fresh_name(docs, "block")
-    return docs.withColumn(name, F.pmod(F.xxhash64(F.col(id_column)), F.lit(grid.blocks)).cast("int")), name
+    dealt = F.pmod(F.xxhash64(F.col(id_column), F.col("text")), F.lit(grid.blocks))
+    return docs.withColumn(name, dealt.cast("int")), name
 
 
 def _planes(values: np.ndarray) -> bytes:

@@ -138,3 +138,10 @@ def test_pipeline_kept_text_hash(spark):
     rows = [(1, "a b c d e f g h i j k l m n"), (2, "z a b c d e f g h i j k l m n")]
     got = {r.doc_id: hashlib.sha256(r.kept.encode()).hexdigest() for r in dedup_substrings(frame(spark, rows)).collect()}
     assert got[2] == hashlib.sha256(b"z").hexdigest()
+
+
+def test_rows_without_an_id_are_spread(spark):
+    docs = spark.range(6000).selectExpr("if(id % 3 = 0, null, id) AS id", "concat('text ', id) AS text")
+    blocked, block = exchange.in_blocks(docs, "id", exchange.Grid(12, 3))
+    sizes = [r["count"] for r in blocked.groupBy(block).count().collect()]
+    assert len(sizes) == 12 and max(sizes) < 2 * 6000 / 12
