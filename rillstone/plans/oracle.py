@@ -498,9 +498,9 @@ ORACLE |= {
     FROM there WHERE event_id % 53 = 0""",
     "offsets_once": _PATCHY_BRONZE,
     "newest_bike_one_station": ORACLE["recent_bike_one_station"],
-    "newest_weather_hourly": ORACLE["recent_weather_hourly"],
-    "table_compacted_twice": _SILVER_WEATHER,
-    "table_compacted_in_place": ORACLE["stream_silver_bike"],
+    "newest_bike_minute": ORACLE["recent_bike_minute"],
+    "table_compacted_twice": ORACLE["bike_minute"],
+    "table_compacted_in_place": ORACLE["bike_minute"],
     "table_expired": ORACLE["retained"],
     "stream_expired": ORACLE["retained"],
     "stream_bike_daily_backfilled_twice": ORACLE["stream_bike_daily"],

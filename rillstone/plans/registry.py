@@ -452,12 +452,12 @@ def newest_bike_one_station(spark, sf_dir):
 
 
 @query
-def newest_weather_hourly(spark, sf_dir):
+def newest_bike_minute(spark, sf_dir):
     """The same of a summary that was filled in batch, whose folders are named by the windows' start."""
-    layout = LakeLayout(scratch_dir(spark, "newest_weather_hourly"))
-    write_table(_weather(spark, sf_dir), layout, S.SILVER_WEATHER)
-    backfill_summaries(spark, layout, date(2024, 3, 1), only=(S.GOLD_WEATHER_HOURLY,))
-    return _rounded(op.recent_weather_hourly(newest(spark, layout, S.GOLD_WEATHER_HOURLY, 200), newest_partitions=None))
+    layout = LakeLayout(scratch_dir(spark, "newest_bike_minute"))
+    write_table(_bike(spark, sf_dir), layout, S.SILVER_BIKE)
+    backfill_summaries(spark, layout, date(2024, 3, 1), only=(S.GOLD_BIKE_MINUTE,))
+    return op.recent_bike_minute(newest(spark, layout, S.GOLD_BIKE_MINUTE, 200), newest_partitions=None)
 
 
 @query
@@ -476,21 +476,24 @@ def table_compacted_twice(spark, sf_dir):
     """The same dates copied again replace the copy."""
     layout = LakeLayout(scratch_dir(spark, "table_compacted_twice"))
     source, target = LakeLayout(f"{layout.base}/small"), LakeLayout(f"{layout.base}/few")
-    write_table(_weather(spark, sf_dir), source, S.SILVER_WEATHER)
+    rows = op.bike_minute(_bike(spark, sf_dir))
+    for turn in range(3):
+        write_table(rows.where(F.minute("window_start") % 3 == turn), source, S.GOLD_BIKE_MINUTE)
     for _ in range(2):
-        rewrite_compact(spark, source, target, S.SILVER_WEATHER)
-    return read_table(spark, target, S.SILVER_WEATHER)
+        rewrite_compact(spark, source, target, S.GOLD_BIKE_MINUTE)
+    return read_table(spark, target, S.GOLD_BIKE_MINUTE)
 
 
 @query
 def table_compacted_in_place(spark, sf_dir):
     """Small files of closed dates replaced twice, with rows appended to them in between."""
     layout = LakeLayout(scratch_dir(spark, "table_compacted_in_place"))
+    rows = op.bike_minute(_bike(spark, sf_dir))
     for turn in range(3):
-        write_table(_bike(spark, sf_dir).where(F.pmod("bikes_available", F.lit(3)) == turn), layout, S.SILVER_BIKE)
+        write_table(rows.where(F.minute("window_start") % 3 == turn), layout, S.GOLD_BIKE_MINUTE)
         if turn:
-            compact(spark, layout, S.SILVER_BIKE, CLOSED_BEFORE)
-    return _rounded(read_table(spark, layout, S.SILVER_BIKE))
+            compact(spark, layout, S.GOLD_BIKE_MINUTE, CLOSED_BEFORE)
+    return read_table(spark, layout, S.GOLD_BIKE_MINUTE)
 
 
 @query
