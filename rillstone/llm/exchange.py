@@ -52,14 +52,15 @@ def in_blocks(docs: DataFrame, id_column: str, grid: Grid) -> tuple[DataFrame, s
     return docs.withColumn(name, dealt.cast("int")), name
 
 
-def _planes(values: np.ndarray) -> bytes:
+def planes(values: np.ndarray) -> bytes:
     """Numbers byte by byte: all lowest bytes, then all second ones and so on. Sorted hashes as
     differences, and small facts, leave the higher ones zero, which the shuffle's codec removes."""
     return np.ascontiguousarray(values.view(np.uint8).reshape(-1, values.dtype.itemsize).T).tobytes()
 
 
-def _numbers(planes: pa.Scalar, kind: np.dtype) -> np.ndarray:
-    raw = np.frombuffer(planes.as_buffer(), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+def numbers(packed: pa.Scalar, kind: np.dtype) -> np.ndarray:
+    """What ``planes`` packed."""
+    raw = np.frombuffer(packed.as_buffer(), np.uint8).reshape(np.dtype(kind).itemsize, -1)
     return np.ascontiguousarray(raw.T).view(kind).ravel()
 
 
@@ -71,16 +72,16 @@ def packed(block: int, grid: Grid, distinct: np.ndarray, facts: np.ndarray) -> p
         {
             "block": pa.array([block] * len(full), pa.int32()),
             "part": pa.array(full, pa.int32()),
-            "hashes": pa.array([_planes(np.diff(distinct[cuts[k] : cuts[k + 1]], prepend=np.uint64(0))) for k in full], pa.binary()),
-            "facts": pa.array([_planes(facts[cuts[k] : cuts[k + 1]]) for k in full], pa.binary()),
+            "hashes": pa.array([planes(np.diff(distinct[cuts[k] : cuts[k + 1]], prepend=np.uint64(0))) for k in full], pa.binary()),
+            "facts": pa.array([planes(facts[cuts[k] : cuts[k + 1]]) for k in full], pa.binary()),
         }
     )
 
 
 def unpacked(entries: pa.Table, kind: np.dtype) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All hashes and facts of a range, and how many came from each row."""
-    hashes = [np.cumsum(_numbers(x, np.uint64), dtype=np.uint64) for x in entries["hashes"]]
-    facts = [_numbers(x, kind) for x in entries["facts"]]
+    hashes = [np.cumsum(numbers(x, np.uint64), dtype=np.uint64) for x in entries["hashes"]]
+    facts = [numbers(x, kind) for x in entries["facts"]]
     return np.concatenate(hashes), np.concatenate(facts), np.fromiter(map(len, hashes), np.int64, len(hashes))
 
 

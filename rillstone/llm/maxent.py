@@ -1,14 +1,19 @@
 """Language-model scoring: a hashed maximum-entropy model with a class-factored softmax.
 
-P(word | history) = P(class | history) * P(member | class, history) * P(word | member). A class is
-the word's shape (case, ending, script). Its members are the class's most frequent words, each
-alone, and one member for all others, within which words follow their smoothed counts; words never
-seen in training share one such place per class. Both softmaxes start at the smoothed unigram
-model (their biases) and add weights of history features: the symbol of the last word, the hashed
-bigram of the last two, and the word before the last (a skip feature). A symbol is a frequent word
-or a class, so features have a fixed number whatever the corpus.
-
-Counts of all words come from all training texts in one packed exchange. Weights are trained by
+P(word | history) = P(class | history) * P(member | class, history) * P(word | member, history). A
+class is the word's shape (case, ending, script). Its members are the class's most frequent words,
+each alone, and one member for all others. That member's words, down to the rarest, are the leaves of a tree:
+ordered by count, split into FAN branches of about equal mass, each again until every word is alone; at each
+split a softmax over the branches. Words never seen in training share one more leaf per class. All
+softmaxes start at the smoothed unigram model (their biases) and add weights of history features: the
+hashed bigram of the last two words, the symbol of the last word (its frequent word or class) and of the word
+before it (a skip feature); in the tree, the last word itself and the one before it, each hashed with the split.
+Hashed features share a table of fixed size, so words may share weights, but none is without any.
+
+A word's number (class by class, by falling count, then by hash) tells its count and its way down the
+tree, given how many words of each class occur how often. Numbers come from all training texts in one packed
+exchange: hash ranges count their words, ranges of equal counts follow each other, and each block of
+texts gets the numbers of its words. The texts are stored as numbers. Weights are trained by
 rounds of gradient updates: every task takes steps over its part of the round's documents, Spark
 averages the tasks' changes slice by slice, and the next round starts there. The rounds use
 different documents and together all of the training documents. Texts are scored batch by batch
@@ -23,6 +28,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rillstone.llm import arrays, exchange
-from rillstone.llm.common import crc_remainder, read, stored
+from rillstone.llm.common import crc_remainder, read, released, releasing, stored
 
 SMOOTHING = 0.1
 #: Word shapes; class 0 is the end of text.
@@ -41,9 +47,17 @@ SYMBOLS = CLASSES * MEMBERS
 BIGRAMS = 1 << 12
 #: Hashed features of the softmax over a class's members: a history symbol with the class.
 MEMBER_FEATURES = 1 << 13
+#: Branches of a split among the words of member 0.
+FAN = 8
+#: Hashed features of the softmaxes over branches: the last word, or the one before it, with the split.
+BRANCH_FEATURES = 1 << 16
+#: Bytes of word numbers handled at once; a longer text is handled alone.
+CHUNK_BYTES = 1 << 22
 ROUNDS = 3
 STEP_TOKENS = 16384
 RATE = 0.25
+#: What a hash range tells the blocks of a word: class, count, place among the range's words of this class and count.
+FOUND = np.dtype([("class", "u1"), ("count", "<u8"), ("place", "<u4")])
 CHANGES = "slice int, tokens double, change binary"
 SLICES = 16
 
@@ -65,19 +79,97 @@ def shapes(words: arrays.Words) -> np.ndarray:
 
 @dataclass
 class Unigrams:
-    """What all training texts say about single words, bounded by the number of classes."""
+    """What all training texts say about single words: how many words of each class occur how often.
+
+    Numbers of words are dealt class by class, by falling count; a class's last one is for words never seen.
+    """
 
     tokens: int  #: N
     distinct: int  #: V
     ends: int
-    named: np.ndarray  #: sorted hashes of the frequent words
-    symbol: np.ndarray  #: their symbols, class * MEMBERS + member
+    place: np.ndarray  #: first number of each run of words of one class and count
+    count: np.ndarray  #: how often each word of a run occurs
     mass: np.ndarray  #: smoothed count of each symbol
+    first: np.ndarray | None = None  #: first number of each class, with one more entry at the end
 
     @property
     def whole(self) -> float:
         return self.tokens + SMOOTHING * (self.distinct + 1)
 
+    @property
+    def kind(self) -> np.dtype:
+        """Type of the numbers in the stored texts."""
+        return np.dtype("<u4" if self.first[-1] <= 1 << 32 else "<u8")
+
+    @cached_property
+    def corners(self) -> tuple[np.ndarray, np.ndarray]:
+        """Where runs begin and end among the numbers, and the smoothed count of all numbers below."""
+        places = np.append(self.place, self.first[-1])
+        return places, np.concatenate([[0.0], np.cumsum(np.diff(places) * (self.count + SMOOTHING))])
+
+    def class_of(self, numbers: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.first, numbers, "right") - 1
+
+    def count_of(self, numbers: np.ndarray) -> np.ndarray:
+        return self.count[np.searchsorted(self.place, numbers, "right") - 1]
+
+    def others(self, klass: np.ndarray) -> np.ndarray:
+        """First number of each class's member 0."""
+        return np.minimum(self.first[klass] + MEMBERS - 1, self.first[klass + 1] - 1)
+
+    def symbol_of(self, numbers: np.ndarray) -> np.ndarray:
+        klass = self.class_of(numbers)
+        return klass * MEMBERS + np.where(numbers < self.others(klass), numbers - self.first[klass] + 1, 0)
+
+
+@dataclass
+class Paths:
+    """The splits above some words of member 0: those of word i are ``first[i]:first[i + 1]`` of the steps."""
+
+    first: np.ndarray
+    split: np.ndarray  #: split of each step
+    branch: np.ndarray  #: branch the word is in
+    key: np.ndarray  #: random value of each split
+    bias: np.ndarray  #: log of each branch's smoothed share; -inf for branches without words
+
+
+def paths_of(unigrams: Unigrams, numbers: np.ndarray) -> Paths:
+    """Ways from member 0 to each of some sorted, distinct numbers; none for frequent words and lone leaves."""
+    places, masses = unigrams.corners
+    klass = unigrams.class_of(numbers)
+    low, high = unigrams.others(klass), unigrams.first[klass + 1]
+    live = np.flatnonzero((numbers >= low) & (high - low > 1))
+    low, high = low[live], high[live]
+    word, split, branch = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    key, bias = [np.zeros(0, np.uint64)], [np.zeros((0, FAN), np.float32)]
+    level = splits = 0
+    while len(live):
+        new = np.concatenate([[True], low[1:] != low[:-1]])  # sorted words: those of a split are neighbours
+        at = np.cumsum(new) - 1
+        a, b = low[new], high[new]
+        below, upto = np.interp(a, places, masses), np.interp(b, places, masses)
+        goal = below[:, None] + (upto - below)[:, None] * (np.arange(1, FAN) / FAN)
+        cuts = np.rint(np.interp(goal, masses, places)).astype(np.int64)
+        # The first and the last branch are never empty, so every split ends with smaller parts.
+        cuts = np.column_stack([a, np.clip(cuts, a[:, None] + 1, b[:, None] - 1), b])
+        share = np.diff(np.interp(cuts, places, masses))
+        with np.errstate(divide="ignore"):
+            bias.append(np.log(share / share.sum(1, keepdims=True)).astype(np.float32))
+        key.append(arrays.mix((a * 64 + level).astype(np.uint64)))
+        taken = (numbers[live][:, None] >= cuts[at, 1:-1]).sum(1)
+        word.append(live)
+        split.append(splits + at)
+        branch.append(taken)
+        low, high = cuts[at, taken], cuts[at, taken + 1]
+        more = high - low > 1
+        live, low, high = live[more], low[more], high[more]
+        splits += len(a)
+        level += 1
+    word = np.concatenate(word)
+    order = np.argsort(word, kind="stable")
+    first = np.concatenate([[0], np.cumsum(np.bincount(word, minlength=len(numbers)))])
+    return Paths(first, np.concatenate(split)[order], np.concatenate(branch)[order], np.concatenate(key), np.concatenate(bias))
+
 
 class Model:
     def __init__(self, unigrams: Unigrams):
@@ -86,36 +178,74 @@ class Model:
         with np.errstate(divide="ignore"):
             self.class_bias = np.log(mass.sum(1) / mass.sum()).astype(np.float32)
             self.member_bias = np.log(mass / mass.sum(1, keepdims=True)).astype(np.float32)
-        self.weights = np.zeros(self.sizes[0] + self.sizes[1], np.float32)
+        self.weights = np.zeros(sum(self.sizes), np.float32)
 
-    sizes = ((BIGRAMS + 2 * SYMBOLS) * CLASSES, MEMBER_FEATURES * MEMBERS)
+    sizes = ((BIGRAMS + 2 * SYMBOLS) * CLASSES, MEMBER_FEATURES * MEMBERS, 2 * BRANCH_FEATURES * FAN)
 
-    def tables(self, weights: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Weights of history features by class, and of history and class features by member."""
+    def tables(self, weights: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Weights of history features by class, of history and class features by member, of history and split features by branch."""
         w = self.weights if weights is None else weights
-        return w[: self.sizes[0]].reshape(-1, CLASSES), w[self.sizes[0] :].reshape(-1, MEMBERS)
-
+        by_class, by_member, by_branch = np.split(w, np.cumsum(self.sizes[:-1]))
+        return by_class.reshape(-1, CLASSES), by_member.reshape(-1, MEMBERS), by_branch.reshape(-1, FAN)
 
-def tokens_of(words: arrays.Words, unigrams: Unigrams) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Symbols of all tokens of a chunk (an end after each row), rows, and places of words among them."""
-    rows = len(words.first) - 1
-    symbol = shapes(words) * MEMBERS
-    if len(unigrams.named):
-        at = np.minimum(np.searchsorted(unigrams.named, words.hash), len(unigrams.named) - 1)
-        symbol = np.where(unigrams.named[at] == words.hash, unigrams.symbol[at], symbol)
-    place = np.arange(len(symbol)) + words.doc
-    tokens = np.zeros(len(symbol) + rows, np.int64)  # symbol 0: the end
-    tokens[place] = symbol
-    row = np.repeat(np.arange(rows), words.counts + 1)
-    return tokens, row, place
 
-
-def histories(tokens: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Feature numbers of each token: hashed bigram, last symbol, symbol before it (0 at the start)."""
+@dataclass
+class Tokens:
+    """All tokens of some texts, an end after each."""
+
+    row: np.ndarray
+    symbol: np.ndarray
+    distinct: np.ndarray  #: the different numbers
+    at: np.ndarray  #: place of each token among them
+    features: tuple
+    paths: Paths
+    seeds: tuple[np.ndarray, np.ndarray]  #: random values of the last word and of the word before it
+
+    def branches(self, a: int, b: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of each step of the tokens a .. b - 1: token (from a), biases, branch taken, both feature numbers."""
+        at = self.at[a:b]
+        start = self.paths.first[at]
+        steps = self.paths.first[at + 1] - start
+        step = arrays.ragged(start, steps)
+        token = np.repeat(np.arange(b - a), steps)
+        split = self.paths.split[step]
+        key = self.paths.key[split]
+        near, far = ((((key + seed[a:b][token]) * np.uint64(arrays.BASE)) >> np.uint64(65 - BRANCH_FEATURES.bit_length())).astype(np.int64) for seed in self.seeds)
+        return token, self.paths.bias.take(split, 0), self.paths.branch[step], near, BRANCH_FEATURES + far
+
+
+def tokens_in(texts: pa.Array, unigrams: Unigrams) -> Iterator[tuple[int, int, Tokens]]:
+    """(first row, last row + 1, tokens) for each chunk of an array of texts stored as numbers."""
+    texts = texts.cast(pa.large_binary())
+    if not len(texts):
+        return
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    raw = texts.buffers()[2]
+    data = np.frombuffer(raw, np.uint8) if raw is not None else np.zeros(0, np.uint8)
+    for a, b in arrays.row_chunks(offsets, CHUNK_BYTES):
+        words = np.diff(offsets[a : b + 1]) // unigrams.kind.itemsize
+        number = np.zeros(words.sum() + b - a, np.int64)  # number 0: the end
+        number[np.arange(words.sum()) + np.repeat(np.arange(b - a), words)] = data[offsets[a] : offsets[b]].view(unigrams.kind)
+        row = np.repeat(np.arange(b - a), words + 1)
+        distinct, at = np.unique(number, return_inverse=True)
+        symbol = unigrams.symbol_of(distinct)[at]
+        seeds = tuple(arrays.mix((2 * x + k).astype(np.uint64)) for k, x in enumerate(last_two(number, row)))
+        yield a, b, Tokens(row, symbol, distinct, at, histories(symbol, row, number), paths_of(unigrams, distinct), seeds)
+
+
+def last_two(tokens: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each token's last token and the one before that (0 at the start)."""
     one, two = np.zeros_like(tokens), np.zeros_like(tokens)
     one[1:] = np.where(row[1:] == row[:-1], tokens[:-1], 0)
     two[2:] = np.where(row[2:] == row[:-2], tokens[:-2], 0)
-    pair = arrays.mix((one * SYMBOLS + two).astype(np.uint64)) % np.uint64(BIGRAMS)
+    return one, two
+
+
+def histories(tokens: np.ndarray, row: np.ndarray, numbers: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Feature numbers of each token (a symbol): hashed bigram of words, last symbol, symbol before it (0 at the start)."""
+    one, two = last_two(tokens, row)
+    first, second = (one, two) if numbers is None else last_two(numbers, row)
+    pair = arrays.mix(arrays.mix(first.astype(np.uint64)) + second.astype(np.uint64)) % np.uint64(BIGRAMS)
     return pair.astype(np.int64), BIGRAMS + one, BIGRAMS + SYMBOLS + two
 
 
@@ -123,57 +253,108 @@ def member_features(features: tuple, klass: np.ndarray) -> tuple[np.ndarray, np.
     return tuple((arrays.mix((f * CLASSES + klass).astype(np.uint64)) % np.uint64(MEMBER_FEATURES)).astype(np.int64) for f in features[1:])
 
 
-def _softmax(logits: np.ndarray) -> np.ndarray:
-    logits -= logits.max(1, keepdims=True)
-    np.exp(logits, out=logits)
-    logits /= logits.sum(1, keepdims=True)
-    return logits
+def _chances(weights: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """exp(weights + bias) in place of the weights, and the sums of its rows. Logs of shares as biases, and weights
+    held within 60 of 0, keep both within the range of their type."""
+    np.clip(weights, -60, 60, out=weights)
+    weights += bias
+    np.exp(weights, out=weights)
+    return weights, np.einsum("ij->i", weights)
 
 
-def probabilities(model: Model, weights: np.ndarray, features: tuple, klass: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    by_class, by_member = model.tables(weights)
-    pair, one, two = features
-    classes = by_class[pair]
-    classes += by_class[one]
-    classes += by_class[two]
-    classes += model.class_bias
-    near, far = member_features(features, klass)
-    members = by_member[near]
-    members += by_member[far]
-    members += model.member_bias[klass]
-    return _softmax(classes), _softmax(members)
+def _softmax(weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    chances, sums = _chances(weights, bias)
+    chances /= sums[:, None]
+    return chances
+
 
+def _sums(table: np.ndarray, *features: np.ndarray) -> np.ndarray:
+    whole = table.take(features[0], 0)
+    for at in features[1:]:
+        whole += table.take(at, 0)
+    return whole
 
-def _add_rows(table: np.ndarray, at: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+
+def probabilities(model: Model, weights: np.ndarray, features: tuple, klass: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    by_class, by_member, _ = model.tables(weights)
+    classes = _softmax(_sums(by_class, *features), model.class_bias)
+    members = _softmax(_sums(by_member, *member_features(features, klass)), model.member_bias.take(klass, 0))
+    return classes, members
+
+
+def log_probabilities(model: Model, tokens: Tokens) -> np.ndarray:
+    """log10 of each token's probability."""
+    by_class, by_member, by_branch = model.tables()
+    own = np.empty(len(tokens.at))
+
+    def add(to: np.ndarray, token: np.ndarray, weights: np.ndarray, bias: np.ndarray, taken: np.ndarray) -> None:
+        chances, sums = _chances(weights, bias)
+        one = chances[np.arange(len(taken)), taken].astype(np.float64)
+        to += np.bincount(token, weights=np.log10(np.maximum(one, 1e-300) / sums), minlength=len(to))
+
+    for a in range(0, len(own), STEP_TOKENS):
+        b = min(a + STEP_TOKENS, len(own))
+        klass, member = tokens.symbol[a:b] // MEMBERS, tokens.symbol[a:b] % MEMBERS
+        features, every = tuple(f[a:b] for f in tokens.features), np.arange(b - a)
+        own[a:b] = 0
+        add(own[a:b], every, _sums(by_class, *features), model.class_bias, klass)
+        add(own[a:b], every, _sums(by_member, *member_features(features, klass)), model.member_bias.take(klass, 0), member)
+        step, bias, branch, near, far = tokens.branches(a, b)
+        add(own[a:b], step, _sums(by_branch, near, far), bias, branch)
+    return own
+
+
+def _add_rows(at: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sums of ``rows`` by their place, and the places."""
-    order = np.argsort(at, kind="stable")
+    near = at - at.min()
+    order = np.argsort(near.astype(np.uint16) if near.max() < 1 << 16 else near, kind="stable")
     ordered = at[order]
     first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-    return ordered[first], np.add.reduceat(rows[order], first)
-
-
-def update(model: Model, weights: np.ndarray, squares: np.ndarray, tokens: np.ndarray, features: tuple) -> None:
-    """One adaptive gradient step of the mean log-likelihood of some tokens."""
-    klass, member = tokens // MEMBERS, tokens % MEMBERS
+    if rows.shape[1] < CLASSES:
+        return ordered[first], np.add.reduceat(rows.take(order, 0), first)
+    # Wide rows are added whole: the second of every group to the first, the third, and so on; large groups at once.
+    sums = rows.take(order[first], 0)
+    after, end = first + 1, np.append(first[1:], len(at))
+    left = np.flatnonzero(after < end)
+    while len(left) > 64:
+        sums[left] += rows.take(order[after[left]], 0)
+        after[left] += 1
+        left = left[after[left] < end[left]]
+    for k in left:
+        sums[k] += rows.take(order[after[k] : end[k]], 0).sum(0)
+    return ordered[first], sums
+
+
+def update(model: Model, weights: np.ndarray, squares: np.ndarray, tokens: Tokens, a: int, b: int) -> None:
+    """One adaptive gradient step of the mean log-likelihood of the tokens a .. b - 1."""
+    klass, member = tokens.symbol[a:b] // MEMBERS, tokens.symbol[a:b] % MEMBERS
+    features = tuple(f[a:b] for f in tokens.features)
     classes, members = probabilities(model, weights, features, klass)
-    rows = np.arange(len(tokens))
+    rows = np.arange(b - a)
     classes[rows, klass] -= 1
     members[rows, member] -= 1
-    (by_class, by_member), (sq_class, sq_member) = model.tables(weights), model.tables(squares)
+    (by_class, by_member, by_branch), (sq_class, sq_member, sq_branch) = model.tables(weights), model.tables(squares)
     pair, one, two = features
     near, far = member_features(features, klass)
-    for table, square, at, slope in (
+    sides = [
         (by_class, sq_class, pair, classes), (by_class, sq_class, one, classes), (by_class, sq_class, two, classes),
         (by_member, sq_member, near, members), (by_member, sq_member, far, members),
-    ):
-        place, sums = _add_rows(table, at, slope)
-        square[place] += sums * sums
-        table[place] -= RATE * sums / np.sqrt(square[place] + 1.0)
-
-
-def word_counts(docs: DataFrame) -> tuple[DataFrame, exchange.Grid, DataFrame, str]:
-    """Stored replies (count of each distinct word of each block in all training texts) with the
-    classes' totals (kind 1) and frequent words (kind 2) of each hash range, and the blocks."""
+    ]
+    step, bias, branch, near, far = tokens.branches(a, b)
+    if len(step):
+        branches = _softmax(_sums(by_branch, near, far), bias)
+        branches[np.arange(len(step)), branch] -= 1
+        sides += [(by_branch, sq_branch, near, branches), (by_branch, sq_branch, far, branches)]
+    for table, square, at, slope in sides:
+        place, sums = _add_rows(at, slope)
+        squared = square.take(place, 0) + sums * sums
+        square[place] = squared
+        table[place] = table.take(place, 0) - RATE * sums / np.sqrt(squared + 1.0)
+
+
+def word_counts(docs: DataFrame) -> tuple[DataFrame, DataFrame, str]:
+    """Stored replies (kind 0: what its range found of each distinct word of a block) with how many words of
+    each class and count a hash range has (kind 1), and the blocks."""
     grid = exchange.grid_for(docs)
     blocked, block = exchange.in_blocks(docs, "id", grid)
     fact = np.dtype([("count", "<u4"), ("class", "u1")])
@@ -194,56 +375,102 @@ def word_counts(docs: DataFrame) -> tuple[DataFrame, exchange.Grid, DataFrame, s
 
     def merge(table: pa.Table) -> pa.Table:
         hashes, facts, sizes = exchange.unpacked(table, fact)
-        order, first, place = exchange.groups_of(hashes)
+        order, first, group = exchange.groups_of(hashes)
         total = np.add.reduceat(facts["count"][order].astype(np.int64), first)
-        each = np.empty(len(hashes), np.uint32)
-        each[order] = np.minimum(total[place], 0xFFFFFFFF)
-        replies = exchange.replies_of(table, sizes, [x.tobytes() for x in np.split(each, np.cumsum(sizes)[:-1])])
-        word, klass = hashes[order][first], facts["class"][order][first].astype(np.int64)
-        seen = total > 0
-        tokens = np.bincount(klass[seen], weights=total[seen], minlength=CLASSES).astype(np.int64)
-        kinds = np.bincount(klass[seen], minlength=CLASSES)
-        by_count = np.lexsort((word, -total, klass))
-        rank = np.arange(len(word)) - np.searchsorted(klass[by_count], klass[by_count])
-        top = by_count[(rank < MEMBERS - 1) & seen[by_count]]
-        n = replies.num_rows
+        klass = facts["class"][order][first]
+        by_count = np.lexsort((-total, klass))  # a stable sort: words of equal counts stay by hash
+        new = np.ones(len(total), bool)
+        new[1:] = (np.diff(klass[by_count].astype(np.int64)) != 0) | (np.diff(total[by_count]) != 0)
+        begin = np.flatnonzero(new)
+        run = by_count[begin]
+        words = np.diff(np.append(begin, len(total)))
+        own = np.zeros(len(total), FOUND)
+        own["class"], own["count"] = klass, total
+        own["place"][by_count] = np.where(total[by_count] > 0, np.arange(len(total)) - np.repeat(begin, words), 0)
+        each = np.empty(len(hashes), FOUND)
+        each[order] = own[group]
+        replies = exchange.replies_of(table, sizes, [exchange.planes(x) for x in np.split(each, np.cumsum(sizes)[:-1])])
+        seen = total[run] > 0
+        run, words = run[seen], words[seen]
+        n, m = replies.num_rows, len(run)
         return pa.table(
             {
-                "block": pa.concat_arrays([replies["block"].combine_chunks(), pa.nulls(CLASSES + len(top), pa.int32())]),
-                "part": pa.concat_arrays([replies["part"].combine_chunks(), pa.nulls(CLASSES + len(top), pa.int32())]),
-                "reply": pa.concat_arrays([replies["reply"].combine_chunks(), pa.nulls(CLASSES + len(top), pa.binary())]),
-                "kind": pa.array(np.repeat([0, 1, 2], [n, CLASSES, len(top)]).astype(np.int32)),
-                "class": pa.array(np.concatenate([np.zeros(n, np.int64), np.arange(CLASSES), klass[top]]).astype(np.int32)),
-                "word": pa.array(np.concatenate([np.zeros(n, np.int64), kinds, word[top].view(np.int64)])),
-                "total": pa.array(np.concatenate([np.zeros(n, np.int64), tokens, total[top]])),
+                "block": pa.concat_arrays([replies["block"].combine_chunks(), pa.nulls(m, pa.int32())]),
+                "part": pa.concat_arrays([replies["part"].combine_chunks(), pa.array([table["part"][0].as_py()] * m, pa.int32())]),
+                "reply": pa.concat_arrays([replies["reply"].combine_chunks(), pa.nulls(m, pa.binary())]),
+                "kind": pa.array(np.repeat([0, 1], [n, m]).astype(np.int32)),
+                "class": pa.array(np.concatenate([np.zeros(n, np.int64), klass[run]]).astype(np.int32)),
+                "total": pa.array(np.concatenate([np.zeros(n, np.int64), total[run]])),
+                "words": pa.array(np.concatenate([np.zeros(n, np.int64), words])),
             }
         )
 
-    found = blocked.groupBy(block).applyInArrow(entries, exchange.ENTRIES).groupBy("part").applyInArrow(merge, exchange.REPLIES + ", kind int, class int, word long, total long")
-    return stored(found, "counts"), grid, blocked, block
+    found = blocked.groupBy(block).applyInArrow(entries, exchange.ENTRIES).groupBy("part").applyInArrow(merge, exchange.REPLIES + ", kind int, class int, total long, words long")
+    return stored(found, "counts"), blocked, block
 
 
 def unigrams_of(counts: DataFrame, ends: int) -> Unigrams:
-    classes = {r["class"]: (r["tokens"], r["words"]) for r in counts.where("kind = 1").groupBy("class").agg(F.sum("total").alias("tokens"), F.sum("word").alias("words")).collect()}
-    best = Window.partitionBy("class").orderBy(F.desc("total"), "word")
-    frequent = counts.where("kind = 2").select("class", "word", "total", F.row_number().over(best).alias("member")).where(F.col("member") < MEMBERS).collect()
-    mass = np.zeros((CLASSES, MEMBERS))
-    mass[0, 0] = ends + SMOOTHING
-    for k in range(1, CLASSES):
-        tokens, words = classes.get(k, (0, 0))
-        mass[k, 0] = tokens + SMOOTHING * (words + 1)
-    for r in frequent:
-        mass[r["class"], r["member"]] = r["total"] + SMOOTHING
-        mass[r["class"], 0] -= r["total"] + SMOOTHING
-    named = np.array([r["word"] for r in frequent], np.int64).view(np.uint64)
-    symbol = np.array([r["class"] * MEMBERS + r["member"] for r in frequent], np.int64)
-    order = np.argsort(named)
-    tokens, distinct = ends + sum(t for t, _ in classes.values()), (ends > 0) + sum(w for _, w in classes.values())
-    return Unigrams(tokens, distinct, ends, named[order], symbol[order], np.maximum(mass, 0).ravel())
+    """All words by class and count. There are at most about as many runs as the root of the number of tokens, per class."""
+    runs = counts.where("kind = 1").groupBy("class", "total").agg(F.sum("words").alias("words")).collect()
+    runs = np.array([(0, ends, 1)] + [(k, 0, 1) for k in range(1, CLASSES)] + [tuple(r) for r in runs], np.int64)
+    klass, count, words = runs[np.lexsort((-runs[:, 1], runs[:, 0]))].T
+    place = np.cumsum(words) - words
+    first = np.concatenate([[0], np.cumsum(np.bincount(klass, weights=words, minlength=CLASSES))]).astype(np.int64)
+    tokens, distinct = int((count * words).sum()), int(words[count > 0].sum())
+    found = Unigrams(tokens, distinct, ends, place, count, np.zeros(SYMBOLS), first)
+    others = found.others(np.arange(CLASSES))
+    places, masses = found.corners
+    mass = found.mass.reshape(CLASSES, MEMBERS)
+    mass[:, 0] = np.interp(first[1:], places, masses) - np.interp(others, places, masses)
+    named = arrays.ragged(first[:-1], others - first[:-1])
+    found.mass[found.symbol_of(named)] = found.count_of(named) + SMOOTHING
+    return found
+
+
+def numbered(blocked: DataFrame, block: str, counts: DataFrame, unigrams: Unigrams) -> DataFrame:
+    """The rows of the blocks, stored with their words as numbers."""
+    shared = blocked.sparkSession.sparkContext.broadcast(unigrams)
+    earlier = Window.partitionBy("class", "total").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.where("kind = 1").select("part", "class", "total", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("before"))
+
+    def keys(klass: np.ndarray, count: np.ndarray) -> np.ndarray:
+        return klass.astype(np.int64) << 56 | count.astype(np.int64)
+
+    def numbers(replies: pa.Table, before: pa.Table) -> pa.Table:
+        """Numbers of a range's words: after those of larger counts and those of equal counts in earlier ranges."""
+        uni = shared.value
+        run = keys(uni.class_of(uni.place), uni.count)
+        order = np.argsort(run)
+        start = uni.place.copy()
+        at = order[np.searchsorted(run[order], keys(before["class"].to_numpy(), before["total"].to_numpy()))]
+        start[at] += before["before"].to_numpy()
+        out = []
+        for reply in replies["reply"]:
+            found = exchange.numbers(reply, FOUND)
+            number = start[order[np.searchsorted(run[order], keys(found["class"], found["count"]))]] + found["place"]
+            out.append(exchange.planes(number.astype(uni.kind)))
+        return pa.table({"block": replies["block"], "part": replies["part"], "reply": pa.array(out, pa.binary())})
+
+    def rows(table: pa.Table, replies: pa.Table) -> pa.Table:
+        kind = shared.value.kind
+        order = np.argsort(replies["part"].to_numpy(), kind="stable")
+        number = np.concatenate([np.zeros(0, kind), *(exchange.numbers(replies["reply"][int(k)], kind) for k in order)])
+        chunks = list(arrays.batch_words(table["text"].combine_chunks(), lower=True))
+        distinct = np.unique(np.concatenate([np.zeros(0, np.uint64), *(w.hash for _, _, w in chunks)]))
+        out = []
+        for _, _, words in chunks:
+            own = number[np.searchsorted(distinct, words.hash)]
+            ends = pa.py_buffer((words.first * kind.itemsize).astype(np.int64))
+            out.append(pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(words.first) - 1, [None, ends, pa.py_buffer(own)]).cast(pa.binary()))
+        return pa.table({"id": table["id"], "held_out": table["held_out"], "learn": table["learn"], "words": pa.chunked_array(out, pa.binary())})
+
+    replies = counts.where("kind = 0").select("block", "part", "reply").groupBy("part").cogroup(before.groupBy("part")).applyInArrow(lambda a, b: released(numbers, a, b), exchange.REPLIES)
+    both = blocked.groupBy(block).cogroup(replies.groupBy("block"))
+    return stored(both.applyInArrow(lambda a, b: released(rows, a, b), "id long, held_out boolean, learn boolean, words binary"), "numbered")
 
 
 def train(docs: DataFrame, model: Model) -> None:
-    """Rounds of distributed updates over ``docs`` (text, round)."""
+    """Rounds of distributed updates over ``docs`` (words, round)."""
     context = docs.sparkSession.sparkContext
     bounds = np.linspace(0, len(model.weights), SLICES + 1).astype(int)
     for number in range(ROUNDS):
@@ -254,12 +481,10 @@ def train(docs: DataFrame, model: Model) -> None:
             weights, squares = known.weights.copy(), np.zeros_like(known.weights)
             seen = 0
             for batch in batches:
-                for _, _, words in arrays.batch_words(batch.column(0), lower=True):
-                    tokens, row, _ = tokens_of(words, known.unigrams)
-                    features = histories(tokens, row)
-                    for a in range(0, len(tokens), STEP_TOKENS):
-                        update(known, weights, squares, tokens[a : a + STEP_TOKENS], tuple(f[a : a + STEP_TOKENS] for f in features))
-                    seen += len(tokens)
+                for _, _, tokens in tokens_in(batch.column(0), known.unigrams):
+                    for a in range(0, len(tokens.row), STEP_TOKENS):
+                        update(known, weights, squares, tokens, a, min(a + STEP_TOKENS, len(tokens.row)))
+                    seen += len(tokens.row)
             if seen:
                 change = weights - known.weights
                 yield pa.RecordBatch.from_arrays(
@@ -278,46 +503,30 @@ def train(docs: DataFrame, model: Model) -> None:
                 means = [(sums[k][1] / sums[k][0]).astype(np.float16).tobytes() for k in keys]
                 yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), pa.array([sums[k][0] for k in keys]), pa.array(means, pa.binary())], ["slice", "tokens", "change"])
 
-        changes = docs.where(F.col("round") == number).select("text").mapInArrow(improve, CHANGES)
+        changes = docs.where(F.col("round") == number).select("words").mapInArrow(releasing(improve), CHANGES)
         # The slices of all tasks meet by slice; each sum needs the memory of one slice.
         for k, _, change in changes.repartition(SLICES, "slice").mapInArrow(average, CHANGES).collect():
             model.weights[bounds[k] : bounds[k + 1]] += np.frombuffer(change, np.float16).astype(np.float32)
 
 
-def score(blocked: DataFrame, block: str, counts: DataFrame, grid: exchange.Grid, model: Model) -> DataFrame:
-    """id, n_tokens, n_known, base_score, score of every row of the blocks."""
-    shared = blocked.sparkSession.sparkContext.broadcast(model)
+def score(docs: DataFrame, model: Model) -> DataFrame:
+    """id, held_out, n_tokens, n_known, base_score, score of every row of ``docs`` (with its words as numbers)."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def apply(table: pa.Table, replies: pa.Table) -> pa.Table:
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         uni = known.unigrams
-        count = np.concatenate([np.zeros(0, np.uint32), *(x.view(np.uint32) for x in exchange.reply_bytes(replies))]).astype(np.float64)
-        chunks = list(arrays.batch_words(table["text"].combine_chunks(), lower=True))
-        distinct = np.unique(np.concatenate([np.zeros(0, np.uint64), *(w.hash for _, _, w in chunks)]))
-        columns: list[list[np.ndarray]] = [[], [], [], []]
-        for a, b, words in chunks:
-            tokens, row, place = tokens_of(words, uni)
-            c = np.full(len(tokens), float(uni.ends))
-            c[place] = count[np.searchsorted(distinct, words.hash)]
-            smooth = np.log10(c + SMOOTHING)
-            base = np.bincount(row, weights=smooth - np.log10(uni.whole), minlength=b - a)
-            klass, member = tokens // MEMBERS, tokens % MEMBERS
-            features = histories(tokens, row)
-            own = np.empty(len(tokens))
-            for x in range(0, len(tokens), STEP_TOKENS):
-                y = min(x + STEP_TOKENS, len(tokens))
-                classes, members = probabilities(known, known.weights, tuple(f[x:y] for f in features), klass[x:y])
-                at = np.arange(y - x)
-                own[x:y] = np.log10(np.maximum(classes[at, klass[x:y]].astype(np.float64) * members[at, member[x:y]], 1e-300))
-            rest = member == 0
-            own[rest] += np.minimum(smooth[rest] - np.log10(uni.mass[tokens[rest]]), 0)
-            for column, value in zip(columns, (words.counts + 1, np.bincount(row, weights=c > 0, minlength=b - a), base, np.bincount(row, weights=own, minlength=b - a)), strict=True):
-                column.append(value)
-        n_tokens, n_known, base, own = (np.concatenate(c) for c in columns)
-        return pa.table({"id": table["id"], "held_out": table["held_out"], "n_tokens": pa.array(n_tokens.astype(np.int64)), "n_known": pa.array(n_known.astype(np.int64)), "base_score": pa.array(base), "score": pa.array(own)})
-
-    replies = counts.where("kind = 0").select("block", "part", "reply")
-    return blocked.groupBy(block).cogroup(replies.groupBy("block")).applyInArrow(apply, "id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+        for batch in batches:
+            for a, b, tokens in tokens_in(batch.column(2), uni):
+                count = uni.count_of(tokens.distinct)
+                base = (np.log10(count + SMOOTHING) - np.log10(uni.whole))[tokens.at]
+                own = log_probabilities(known, tokens)
+                sums = (np.bincount(tokens.row, weights=value, minlength=b - a) for value in (np.ones(len(own)), (count > 0)[tokens.at], base, own))
+                n_tokens, n_known, base, own = sums
+                columns = [batch.column(0)[a:b], batch.column(1)[a:b], pa.array(n_tokens.astype(np.int64)), pa.array(n_known.astype(np.int64)), pa.array(base), pa.array(own)]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "held_out", "n_tokens", "n_known", "base_score", "score"])
+
+    return docs.select("id", "held_out", "words").mapInArrow(releasing(apply), "id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
 
 
 def score_texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -325,11 +534,12 @@ def score_texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     remainder = crc_remainder("id", 10)
     plain = docs.select(docs[id_column].cast("long").alias("id"), docs[text_column].cast("string").alias("text"))
     plain = plain.select("id", "text", F.coalesce(remainder > 0, F.lit(False)).alias("learn"), F.coalesce(remainder == 0, F.lit(False)).alias("held_out"))
-    counts, grid, blocked, block = word_counts(plain)
+    counts, blocked, block = word_counts(plain)
     unigrams = unigrams_of(counts, plain.where("learn").count())
+    texts = numbered(blocked, block, counts, unigrams)
     model = Model(unigrams)
-    train(plain.where("learn").select("text", F.pmod(F.xxhash64("id"), F.lit(ROUNDS)).alias("round")), model)
-    found = score(blocked, block, counts, grid, model).withColumn("train_tokens", F.lit(unigrams.tokens).cast("long"))
+    train(texts.where("learn").select("words", F.pmod(F.xxhash64("id"), F.lit(ROUNDS)).alias("round")), model)
+    found = score(texts, model).withColumn("train_tokens", F.lit(unigrams.tokens).cast("long"))
     return found.withColumnRenamed("id", id_column)
 
 

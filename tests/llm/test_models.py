@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 from llm_cases import documents, frame, words
 
-from rillstone.llm import ann, html_blocks, html_extract, html_training, licenses, maxent, ordinal, toxicity
+from rillstone.llm import ann, exchange, html_blocks, html_extract, html_training, licenses, maxent, ordinal, toxicity
 
 
 # Ordinal regression
@@ -129,6 +129,65 @@ def test_probabilities_sum_to_one():
     assert np.allclose(whole, 1, atol=1e-4)
 
 
+def many_words(counts):
+    """Words of one class and their counts; all other classes have none."""
+    runs = sorted(Counter(counts).items(), reverse=True)
+    each = [(5, 1)] + [(0, 1)] * 8 + runs + [(0, 1)] * (maxent.CLASSES - 9)
+    count, words = np.array(each).T
+    klass = np.concatenate([np.arange(9), [9] * len(runs), np.arange(9, maxent.CLASSES)])
+    first = np.concatenate([[0], np.cumsum(np.bincount(klass, weights=words))]).astype(np.int64)
+    return maxent.Unigrams(sum(counts) + 5, len(counts) + 1, 5, np.cumsum(words) - words, count, np.zeros(maxent.SYMBOLS), first)
+
+
+@pytest.mark.parametrize("counts", [[1] * 5000, [4000, 900] + [3] * 40 + [1] * 700, [1 << k for k in range(40)], list(range(1, 300)), [7] * 23, [7] * 24, [2]])
+def test_every_word_has_its_own_way_down(counts):
+    uni = many_words(counts)
+    numbers = np.arange(uni.others(np.array([9]))[0], uni.first[10])
+    paths = maxent.paths_of(uni, numbers)
+    r = np.random.default_rng(2)
+    chance = np.exp(paths.bias + r.normal(size=paths.bias.shape))
+    for table, wanted in ((np.exp(paths.bias), (uni.count_of(numbers) + 0.1) / (uni.count_of(numbers) + 0.1).sum()), (chance / chance.sum(1, keepdims=True), None)):
+        ways = [list(zip(paths.split[a:b], paths.branch[a:b], strict=True)) for a, b in zip(paths.first, paths.first[1:], strict=False)]
+        own = np.array([math.prod(float(table[x]) for x in way) for way in ways])
+        assert len(set(map(tuple, ways))) == len(numbers) and np.isclose(own.sum(), 1, atol=1e-4) and (own > 0).all()
+        assert wanted is None or np.allclose(own, wanted, rtol=1e-3)
+    assert len(set(paths.key.tolist())) == len(paths.key)
+
+
+def test_words_are_numbered_by_count_over_all_ranges(spark, monkeypatch):
+    monkeypatch.setattr(exchange, "grid_for", lambda docs: exchange.Grid(7, 5))
+    r = random.Random(9)
+    rows = [(k, " ".join(f"{r.choice(['w', 'W', 'é', '7'])}{r.randint(0, 1 << r.randint(1, 10))}" for _ in range(60))) for k in range(120)] + [(500, None), (None, "w1 only")]
+    plain = spark.createDataFrame([(i, t, i is not None and i % 10 != 0, False) for i, t in rows], "id long, text string, learn boolean, held_out boolean")
+    counts, blocked, block = maxent.word_counts(plain)
+    uni = maxent.unigrams_of(counts, 108)
+    texts = dict(rows)
+    number = {}
+    for row in maxent.numbered(blocked, block, counts, uni).collect():
+        own = np.frombuffer(row.words, uni.kind).tolist()
+        assert len(own) == len(words(texts[row.id], lower=True))
+        for word, x in zip(words(texts[row.id], lower=True), own, strict=True):
+            assert number.setdefault(word, x) == x
+    seen = Counter(w for i, t in rows if i is not None and i % 10 != 0 for w in words(t, lower=True))
+    assert len({number[w] for w in seen}) == len(seen) and uni.distinct == len(seen) + 1 and uni.tokens == sum(seen.values()) + 108
+    assert uni.first[-1] == 1 + len(seen) + maxent.CLASSES - 1
+    assert uni.count_of(np.array([number[w] for w in number])).tolist() == [seen[w] for w in number]
+
+
+def test_rare_words_are_told_by_their_history(spark):
+    """80 pairs of equally frequent words of one class, far more than are members on their own."""
+    r = random.Random(6)
+    pair = lambda k, j: f"a{k}x b{j}x"
+    rows = [(k, " ".join(pair(j, j) for j in r.sample(range(80), 80))) for k in range(1, 300)]
+    held = [i for i in range(1000, 9000) if zlib.crc32(str(i).encode()) % 10 == 0][:160]
+    rows += [(held[2 * j + m], pair(j, (j + m) % 80)) for j in range(80) for m in (0, 1)]
+    found = {x.doc_id: x for x in maxent.score_texts(frame(spark, rows)).collect()}
+    right, wrong = ([found[i] for i in held[m::2]] for m in (0, 1))
+    assert len({round(x.base_score, 6) for x in right + wrong}) == 1
+    gains = [x.score - y.score for x, y in zip(right, wrong, strict=True)]
+    assert np.median(gains) > 0.5 and np.mean(gains) > 0.5
+
+
 def test_training_helps_held_out_texts(spark, sf_dir):
     found = maxent.op10_maxent(spark, sf_dir).where("held_out").collect()
     assert sum(x.score for x in found) > sum(x.base_score for x in found)
