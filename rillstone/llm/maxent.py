@@ -204,14 +204,14 @@ class Tokens:
     def branches(self, a: int, b: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Of each step of the tokens a .. b - 1: token (from a), biases, branch taken, both feature numbers."""
         at = self.at[a:b]
-        start = self.paths.first[at]
-        steps = self.paths.first[at + 1] - start
+        start = self.paths.first.take(at)
+        steps = self.paths.first.take(at + 1) - start
         step = arrays.ragged(start, steps)
         token = np.repeat(np.arange(b - a), steps)
-        split = self.paths.split[step]
-        key = self.paths.key[split]
-        near, far = ((((key + seed[a:b][token]) * np.uint64(arrays.BASE)) >> np.uint64(65 - BRANCH_FEATURES.bit_length())).astype(np.int64) for seed in self.seeds)
-        return token, self.paths.bias.take(split, 0), self.paths.branch[step], near, BRANCH_FEATURES + far
+        split = self.paths.split.take(step)
+        key = self.paths.key.take(split)
+        near, far = ((((key + seed[a:b].take(token)) * np.uint64(arrays.BASE)) >> np.uint64(65 - BRANCH_FEATURES.bit_length())).astype(np.int64) for seed in self.seeds)
+        return token, self.paths.bias.take(split, 0), self.paths.branch.take(step), near, BRANCH_FEATURES + far
 
 
 def tokens_in(texts: pa.Array, unigrams: Unigrams) -> Iterator[tuple[int, int, Tokens]]:
@@ -228,9 +228,10 @@ def tokens_in(texts: pa.Array, unigrams: Unigrams) -> Iterator[tuple[int, int, T
         number[np.arange(words.sum()) + np.repeat(np.arange(b - a), words)] = data[offsets[a] : offsets[b]].view(unigrams.kind)
         row = np.repeat(np.arange(b - a), words + 1)
         distinct, at = np.unique(number, return_inverse=True)
-        symbol = unigrams.symbol_of(distinct)[at]
-        seeds = tuple(arrays.mix((2 * x + k).astype(np.uint64)) for k, x in enumerate(last_two(number, row)))
-        yield a, b, Tokens(row, symbol, distinct, at, histories(symbol, row, number), paths_of(unigrams, distinct), seeds)
+        symbol = unigrams.symbol_of(distinct).take(at)
+        one, two = last_two(arrays.mix(distinct.astype(np.uint64)).take(at), row)
+        seeds = (one, two * np.uint64(arrays.BASE))
+        yield a, b, Tokens(row, symbol, distinct, at, histories(symbol, row, one + seeds[1]), paths_of(unigrams, distinct), seeds)
 
 
 def last_two(tokens: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -241,16 +242,16 @@ def last_two(tokens: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return one, two
 
 
-def histories(tokens: np.ndarray, row: np.ndarray, numbers: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Feature numbers of each token (a symbol): hashed bigram of words, last symbol, symbol before it (0 at the start)."""
+def histories(tokens: np.ndarray, row: np.ndarray, words: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Feature numbers of each token (a symbol): hashed bigram (random values of the last two words, or the symbols),
+    last symbol, symbol before it (0 at the start)."""
     one, two = last_two(tokens, row)
-    first, second = (one, two) if numbers is None else last_two(numbers, row)
-    pair = arrays.mix(arrays.mix(first.astype(np.uint64)) + second.astype(np.uint64)) % np.uint64(BIGRAMS)
+    pair = arrays.mix((one * SYMBOLS + two).astype(np.uint64) if words is None else words) & np.uint64(BIGRAMS - 1)
     return pair.astype(np.int64), BIGRAMS + one, BIGRAMS + SYMBOLS + two
 
 
 def member_features(features: tuple, klass: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return tuple((arrays.mix((f * CLASSES + klass).astype(np.uint64)) % np.uint64(MEMBER_FEATURES)).astype(np.int64) for f in features[1:])
+    return tuple((arrays.mix((f * CLASSES + klass).astype(np.uint64)) & np.uint64(MEMBER_FEATURES - 1)).astype(np.int64) for f in features[1:])
 
 
 def _chances(weights: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -287,20 +288,19 @@ def log_probabilities(model: Model, tokens: Tokens) -> np.ndarray:
     by_class, by_member, by_branch = model.tables()
     own = np.empty(len(tokens.at))
 
-    def add(to: np.ndarray, token: np.ndarray, weights: np.ndarray, bias: np.ndarray, taken: np.ndarray) -> None:
+    def share(weights: np.ndarray, bias: np.ndarray, taken: np.ndarray) -> np.ndarray:
         chances, sums = _chances(weights, bias)
-        one = chances[np.arange(len(taken)), taken].astype(np.float64)
-        to += np.bincount(token, weights=np.log10(np.maximum(one, 1e-300) / sums), minlength=len(to))
+        one = chances.ravel().take(np.arange(len(taken)) * chances.shape[1] + taken)
+        return np.log10(np.maximum(one, 1e-37)) - np.log10(sums)
 
     for a in range(0, len(own), STEP_TOKENS):
         b = min(a + STEP_TOKENS, len(own))
         klass, member = tokens.symbol[a:b] // MEMBERS, tokens.symbol[a:b] % MEMBERS
-        features, every = tuple(f[a:b] for f in tokens.features), np.arange(b - a)
-        own[a:b] = 0
-        add(own[a:b], every, _sums(by_class, *features), model.class_bias, klass)
-        add(own[a:b], every, _sums(by_member, *member_features(features, klass)), model.member_bias.take(klass, 0), member)
+        features = tuple(f[a:b] for f in tokens.features)
+        own[a:b] = share(_sums(by_class, *features), model.class_bias, klass)
+        own[a:b] += share(_sums(by_member, *member_features(features, klass)), model.member_bias.take(klass, 0), member)
         step, bias, branch, near, far = tokens.branches(a, b)
-        add(own[a:b], step, _sums(by_branch, near, far), bias, branch)
+        own[a:b] += np.bincount(step, weights=share(_sums(by_branch, near, far), bias, branch), minlength=b - a)
     return own
 
 
