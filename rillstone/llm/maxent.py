@@ -17,7 +17,8 @@ texts gets the numbers of its words. The texts are stored as numbers. Weights ar
 rounds of gradient updates: every task takes steps over its part of the round's documents, Spark
 averages the tasks' changes slice by slice, and the next round starts there. The rounds use
 different documents and together all of the training documents. Texts are scored batch by batch
-with sparse lookups.
+with sparse lookups. The chances of classes are products of one factor of the bigram and one of the two
+symbols, so exponentials are taken per factor, and those of members per different history, not per token.
 
 Tokens are words ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z, then one end of text. Null and empty
 texts are one end. Rows with a null id are scored and never learned from. Without training texts
@@ -132,6 +133,10 @@ class Paths:
     key: np.ndarray  #: random value of each split
     bias: np.ndarray  #: log of each branch's smoothed share; -inf for branches without words
 
+    @cached_property
+    def bias_by_branch(self) -> np.ndarray:
+        return np.ascontiguousarray(self.bias.T)
+
 
 def paths_of(unigrams: Unigrams, numbers: np.ndarray) -> Paths:
     """Ways from member 0 to each of some sorted, distinct numbers; none for frequent words and lone leaves."""
@@ -156,7 +161,8 @@ def paths_of(unigrams: Unigrams, numbers: np.ndarray) -> Paths:
         with np.errstate(divide="ignore"):
             bias.append(np.log(share / share.sum(1, keepdims=True)).astype(np.float32))
         key.append(arrays.mix((a * 64 + level).astype(np.uint64)))
-        taken = (numbers[live][:, None] >= cuts[at, 1:-1]).sum(1)
+        # Words and cuts are sorted: up to a word lie all cuts of earlier splits, the first of its own and those it has passed.
+        taken = np.searchsorted(cuts.ravel(), numbers[live], "right") - at * (FAN + 1) - 1
         word.append(live)
         split.append(splits + at)
         branch.append(taken)
@@ -165,10 +171,14 @@ def paths_of(unigrams: Unigrams, numbers: np.ndarray) -> Paths:
         live, low, high = live[more], low[more], high[more]
         splits += len(a)
         level += 1
-    word = np.concatenate(word)
-    order = np.argsort(word, kind="stable")
-    first = np.concatenate([[0], np.cumsum(np.bincount(word, minlength=len(numbers)))])
-    return Paths(first, np.concatenate(split)[order], np.concatenate(branch)[order], np.concatenate(key), np.concatenate(bias))
+    depth = np.zeros(len(numbers), np.int64)
+    for some in word:
+        depth[some] += 1
+    first = np.concatenate([[0], np.cumsum(depth)])
+    splits_of, branches_of = np.empty(first[-1], np.int64), np.empty(first[-1], np.int64)
+    for k, some in enumerate(word[1:]):
+        splits_of[first[some] + k], branches_of[first[some] + k] = split[k + 1], branch[k + 1]
+    return Paths(first, splits_of, branches_of, np.concatenate(key), np.concatenate(bias))
 
 
 class Model:
@@ -183,10 +193,10 @@ class Model:
     sizes = ((BIGRAMS + 2 * SYMBOLS) * CLASSES, MEMBER_FEATURES * MEMBERS, 2 * BRANCH_FEATURES * FAN)
 
     def tables(self, weights: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Weights of history features by class, of history and class features by member, of history and split features by branch."""
+        """Weights of history features by class, of history and class features by member, of each branch by history and split features."""
         w = self.weights if weights is None else weights
         by_class, by_member, by_branch = np.split(w, np.cumsum(self.sizes[:-1]))
-        return by_class.reshape(-1, CLASSES), by_member.reshape(-1, MEMBERS), by_branch.reshape(-1, FAN)
+        return by_class.reshape(-1, CLASSES), by_member.reshape(-1, MEMBERS), by_branch.reshape(FAN, -1)
 
 
 @dataclass
@@ -202,7 +212,7 @@ class Tokens:
     seeds: tuple[np.ndarray, np.ndarray]  #: random values of the last word and of the word before it
 
     def branches(self, a: int, b: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Of each step of the tokens a .. b - 1: token (from a), biases, branch taken, both feature numbers."""
+        """Of each step of the tokens a .. b - 1: token (from a), split, branch taken, both feature numbers."""
         at = self.at[a:b]
         start = self.paths.first.take(at)
         steps = self.paths.first.take(at + 1) - start
@@ -210,8 +220,8 @@ class Tokens:
         token = np.repeat(np.arange(b - a), steps)
         split = self.paths.split.take(step)
         key = self.paths.key.take(split)
-        near, far = ((((key + seed[a:b].take(token)) * np.uint64(arrays.BASE)) >> np.uint64(65 - BRANCH_FEATURES.bit_length())).astype(np.int64) for seed in self.seeds)
-        return token, self.paths.bias.take(split, 0), self.paths.branch.take(step), near, BRANCH_FEATURES + far
+        near, far = ((((key + seed[a:b].take(token)) * np.uint64(arrays.BASE)) >> np.uint64(65 - BRANCH_FEATURES.bit_length())).view(np.int64) for seed in self.seeds)
+        return token, split, self.paths.branch.take(step), near, BRANCH_FEATURES + far
 
 
 def tokens_in(texts: pa.Array, unigrams: Unigrams) -> Iterator[tuple[int, int, Tokens]]:
@@ -250,106 +260,169 @@ def histories(tokens: np.ndarray, row: np.ndarray, words: np.ndarray | None = No
     return pair.astype(np.int64), BIGRAMS + one, BIGRAMS + SYMBOLS + two
 
 
-def member_features(features: tuple, klass: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return tuple((arrays.mix((f * CLASSES + klass).astype(np.uint64)) & np.uint64(MEMBER_FEATURES - 1)).astype(np.int64) for f in features[1:])
+def member_features(one: np.ndarray, two: np.ndarray, klass: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return tuple((arrays.mix((f * CLASSES + klass).astype(np.uint64)) & np.uint64(MEMBER_FEATURES - 1)).astype(np.int64) for f in (one, two))
 
 
-def _chances(weights: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """exp(weights + bias) in place of the weights, and the sums of its rows. Logs of shares as biases, and weights
-    held within 60 of 0, keep both within the range of their type."""
-    np.clip(weights, -60, 60, out=weights)
-    weights += bias
-    np.exp(weights, out=weights)
-    return weights, np.einsum("ij->i", weights)
+def _chances(weights: np.ndarray, bias: np.ndarray | float, limit: int = 60) -> np.ndarray:
+    """exp(weights + bias). Logs of shares as biases, and weights held within 60 of 0 (30 in each of two factors),
+    keep chances and their sums within the range of their type."""
+    chances = np.clip(weights, -limit, limit)
+    chances += bias
+    return np.exp(chances, out=chances)
 
 
-def _softmax(weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
-    chances, sums = _chances(weights, bias)
-    chances /= sums[:, None]
-    return chances
+def _row_sums(rows: np.ndarray) -> np.ndarray:
+    return rows @ np.ones(rows.shape[1], rows.dtype)
 
 
-def _sums(table: np.ndarray, *features: np.ndarray) -> np.ndarray:
-    whole = table.take(features[0], 0)
-    for at in features[1:]:
-        whole += table.take(at, 0)
+def _sums(table: np.ndarray, one: np.ndarray, two: np.ndarray, axis: int = 0) -> np.ndarray:
+    whole = table.take(one, axis)
+    whole += table.take(two, axis)
     return whole
 
 
-def probabilities(model: Model, weights: np.ndarray, features: tuple, klass: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+@dataclass
+class Contexts:
+    """The different (last symbol, symbol before it, class) of some tokens. Few, since symbols are few: what depends on
+    them alone is found once for all tokens that share one."""
+
+    at: np.ndarray  #: context of each token
+    size: np.ndarray  #: tokens of each context
+    one: np.ndarray
+    two: np.ndarray
+    klass: np.ndarray
+
+    @cached_property
+    def features(self) -> tuple[np.ndarray, np.ndarray]:
+        return member_features(self.one, self.two, self.klass)
+
+    def factors(self, model: Model, by_class: np.ndarray) -> np.ndarray:
+        """Each context's factor of the chances of the classes; the bigram's is the other."""
+        return _chances(_sums(by_class, self.one, self.two), model.class_bias, 30)
+
+    def members(self, model: Model, by_member: np.ndarray) -> np.ndarray:
+        """Each context's chances of the members of its class."""
+        return _chances(_sums(by_member, *self.features), model.member_bias.take(self.klass, 0))
+
+
+def contexts_of(features: tuple, klass: np.ndarray) -> Contexts:
+    _, one, two = features
+    code, at, size = np.unique((one * (BIGRAMS + 2 * SYMBOLS) + two) * CLASSES + klass, return_inverse=True, return_counts=True)
+    code, klass = np.divmod(code, CLASSES)
+    return Contexts(at, size, *np.divmod(code, BIGRAMS + 2 * SYMBOLS), klass)
+
+
+def distributions(model: Model, weights: np.ndarray, features: tuple, contexts: Contexts) -> tuple[np.ndarray, np.ndarray]:
+    """Shares of the classes for each token, shares of the members for each context."""
     by_class, by_member, _ = model.tables(weights)
-    classes = _softmax(_sums(by_class, *features), model.class_bias)
-    members = _softmax(_sums(by_member, *member_features(features, klass)), model.member_bias.take(klass, 0))
+    classes = _chances(by_class[:BIGRAMS], 0, 30).take(features[0], 0)
+    classes *= contexts.factors(model, by_class).take(contexts.at, 0)
+    classes /= _row_sums(classes)[:, None]
+    members = contexts.members(model, by_member)
+    members /= _row_sums(members)[:, None]
     return classes, members
 
 
+def probabilities(model: Model, weights: np.ndarray, features: tuple, klass: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Shares of the classes, and of the members of the given class, for each token."""
+    contexts = contexts_of(features, klass)
+    classes, members = distributions(model, weights, features, contexts)
+    return classes, members.take(contexts.at, 0)
+
+
 def log_probabilities(model: Model, tokens: Tokens) -> np.ndarray:
     """log10 of each token's probability."""
     by_class, by_member, by_branch = model.tables()
+    of_bigram, by_feature = _chances(by_class[:BIGRAMS], 0, 30), np.ascontiguousarray(by_branch.T)
     own = np.empty(len(tokens.at))
 
-    def share(weights: np.ndarray, bias: np.ndarray, taken: np.ndarray) -> np.ndarray:
-        chances, sums = _chances(weights, bias)
-        one = chances.ravel().take(np.arange(len(taken)) * chances.shape[1] + taken)
-        return np.log10(np.maximum(one, 1e-37)) - np.log10(sums)
+    def share(chance: np.ndarray, whole: np.ndarray) -> np.ndarray:
+        return np.log10(np.maximum(chance, 1e-37)) - np.log10(whole)
 
     for a in range(0, len(own), STEP_TOKENS):
         b = min(a + STEP_TOKENS, len(own))
-        klass, member = tokens.symbol[a:b] // MEMBERS, tokens.symbol[a:b] % MEMBERS
+        klass, member = np.divmod(tokens.symbol[a:b], MEMBERS)
         features = tuple(f[a:b] for f in tokens.features)
-        own[a:b] = share(_sums(by_class, *features), model.class_bias, klass)
-        own[a:b] += share(_sums(by_member, *member_features(features, klass)), model.member_bias.take(klass, 0), member)
-        step, bias, branch, near, far = tokens.branches(a, b)
-        own[a:b] += np.bincount(step, weights=share(_sums(by_branch, near, far), bias, branch), minlength=b - a)
+        contexts = contexts_of(features, klass)
+        classes = of_bigram.take(features[0], 0)
+        classes *= contexts.factors(model, by_class).take(contexts.at, 0)
+        own[a:b] = share(classes.ravel().take(np.arange(b - a) * CLASSES + klass), _row_sums(classes))
+        members = contexts.members(model, by_member)
+        own[a:b] += share(members.ravel().take(contexts.at * MEMBERS + member), _row_sums(members).take(contexts.at))
+        step, split, branch, near, far = tokens.branches(a, b)
+        branches = _chances(_sums(by_feature, near, far), tokens.paths.bias.take(split, 0))
+        ways = share(branches.ravel().take(np.arange(len(step)) * FAN + branch), _row_sums(branches))
+        own[a:b] += np.bincount(step, weights=ways, minlength=b - a)
     return own
 
 
 def _add_rows(at: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sums of ``rows`` by their place, and the places."""
+    """The different places (those with most rows first), and the sums of their ``rows``.
+
+    Rows are added whole: the second row of every place to its first, the third, and so on; the rest of a few places
+    with many rows at once.
+    """
     near = at - at.min()
     order = np.argsort(near.astype(np.uint16) if near.max() < 1 << 16 else near, kind="stable")
     ordered = at[order]
     first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-    if rows.shape[1] < CLASSES:
-        return ordered[first], np.add.reduceat(rows.take(order, 0), first)
-    # Wide rows are added whole: the second of every group to the first, the third, and so on; large groups at once.
+    less = -np.diff(first, append=len(at))
+    by_size = np.argsort(less, kind="stable")
+    first, less = first[by_size], less[by_size]
     sums = rows.take(order[first], 0)
-    after, end = first + 1, np.append(first[1:], len(at))
-    left = np.flatnonzero(after < end)
-    while len(left) > 64:
-        sums[left] += rows.take(order[after[left]], 0)
-        after[left] += 1
-        left = left[after[left] < end[left]]
-    for k in left:
-        sums[k] += rows.take(order[after[k] : end[k]], 0).sum(0)
+    added = 1
+    while (left := int(np.searchsorted(less, -added))) > 64:
+        sums[:left] += rows.take(order[first[:left] + added], 0)
+        added += 1
+    for k in range(left):
+        rest = rows.take(order[first[k] + added : first[k] - less[k]], 0)
+        sums[k] += np.ones(len(rest), rows.dtype) @ rest
     return ordered[first], sums
 
 
 def update(model: Model, weights: np.ndarray, squares: np.ndarray, tokens: Tokens, a: int, b: int) -> None:
     """One adaptive gradient step of the mean log-likelihood of the tokens a .. b - 1."""
-    klass, member = tokens.symbol[a:b] // MEMBERS, tokens.symbol[a:b] % MEMBERS
+    klass, member = np.divmod(tokens.symbol[a:b], MEMBERS)
     features = tuple(f[a:b] for f in tokens.features)
-    classes, members = probabilities(model, weights, features, klass)
-    rows = np.arange(b - a)
-    classes[rows, klass] -= 1
-    members[rows, member] -= 1
+    contexts = contexts_of(features, klass)
+    classes, members = distributions(model, weights, features, contexts)
+    classes[np.arange(b - a), klass] -= 1
+    members *= contexts.size.astype(np.float32)[:, None]
+    members -= np.bincount(contexts.at * MEMBERS + member, minlength=members.size).reshape(members.shape)
     (by_class, by_member, by_branch), (sq_class, sq_member, sq_branch) = model.tables(weights), model.tables(squares)
-    pair, one, two = features
-    near, far = member_features(features, klass)
+    known, by_context = _add_rows(contexts.at, classes)
+    near, far = contexts.features
     sides = [
-        (by_class, sq_class, pair, classes), (by_class, sq_class, one, classes), (by_class, sq_class, two, classes),
+        (by_class, sq_class, features[0], classes), (by_class, sq_class, contexts.one[known], by_context), (by_class, sq_class, contexts.two[known], by_context),
         (by_member, sq_member, near, members), (by_member, sq_member, far, members),
     ]
-    step, bias, branch, near, far = tokens.branches(a, b)
-    if len(step):
-        branches = _softmax(_sums(by_branch, near, far), bias)
-        branches[np.arange(len(step)), branch] -= 1
-        sides += [(by_branch, sq_branch, near, branches), (by_branch, sq_branch, far, branches)]
     for table, square, at, slope in sides:
         place, sums = _add_rows(at, slope)
-        squared = square.take(place, 0) + sums * sums
-        square[place] = squared
-        table[place] = table.take(place, 0) - RATE * sums / np.sqrt(squared + 1.0)
+        values, squared = table.take(place, 0), square.take(place, 0)
+        _learn(values, squared, sums)
+        table[place], square[place] = values, squared
+    step, split, branch, near, far = tokens.branches(a, b)
+    if len(step):
+        # By branch, since sums of numbers are faster than sums of short rows.
+        branches = _chances(_sums(by_branch, near, far, 1), tokens.paths.bias_by_branch.take(split, 1))
+        branches /= branches.sum(0)
+        branches.ravel()[branch * len(step) + np.arange(len(step))] -= 1
+        for values, squared, slope in zip(by_branch, sq_branch, branches, strict=True):
+            sums = np.zeros_like(values)
+            np.add.at(sums, near, slope)
+            np.add.at(sums, far, slope)
+            _learn(values, squared, sums)
+
+
+def _learn(values: np.ndarray, squared: np.ndarray, sums: np.ndarray) -> None:
+    """Moves weights against their summed slopes, the less the larger the sum of all earlier squares."""
+    squared += sums * sums
+    scale = squared + 1
+    np.sqrt(scale, out=scale)
+    sums *= RATE
+    sums /= scale
+    values -= sums
 
 
 def word_counts(docs: DataFrame) -> tuple[DataFrame, DataFrame, str]:

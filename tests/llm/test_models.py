@@ -188,6 +188,63 @@ def test_rare_words_are_told_by_their_history(spark):
     assert np.median(gains) > 0.5 and np.mean(gains) > 0.5
 
 
+def some_tokens(uni, n, most, seed=3):
+    """``n`` tokens of three texts, of the ``most`` most frequent words of class 9."""
+    r = np.random.default_rng(seed)
+    number = (uni.first[9] + r.integers(0, most, n - 3)).astype(uni.kind)
+    texts = pa.array([x.tobytes() for x in np.array_split(number, 3)], pa.binary())
+    ((_, _, tokens),) = maxent.tokens_in(texts, uni)
+    return tokens
+
+
+def test_exponentials_are_taken_per_history_not_per_token(monkeypatch):
+    uni = many_words(list(range(1, 300)))
+    uni.mass[:] = 1
+    tokens, model, taken = some_tokens(uni, maxent.STEP_TOKENS, 20), maxent.Model(uni), []
+    plain = maxent._chances
+    monkeypatch.setattr(maxent, "_chances", lambda weights, *rest: taken.append(weights.size) or plain(weights, *rest))
+    maxent.update(model, model.weights.copy(), np.zeros_like(model.weights), tokens, 0, maxent.STEP_TOKENS)
+    in_step, taken[:] = sum(taken), []
+    maxent.log_probabilities(model, tokens)
+    each = maxent.CLASSES + maxent.MEMBERS
+    assert max(in_step, sum(taken)) < each * maxent.STEP_TOKENS / 2
+
+
+def test_a_step_follows_the_slope_of_the_scores():
+    """First squares of the slopes, and the directions taken, against differences of the scores that are returned."""
+    uni = many_words([4000, 900] + [3] * 40 + [1] * 700)
+    uni.mass[:] = np.random.default_rng(1).random(maxent.SYMBOLS) + 0.1
+    tokens, model = some_tokens(uni, 600, 700), maxent.Model(uni)
+    r = np.random.default_rng(4)
+    model.weights[:] = r.normal(scale=0.3, size=len(model.weights))
+    weights, squares = model.weights.copy(), np.zeros_like(model.weights)
+    maxent.update(model, weights, squares, tokens, 0, 600)
+    slope = np.sqrt(squares) * np.sign(model.weights - weights)
+    assert np.allclose(weights, model.weights - maxent.RATE * slope / np.sqrt(squares + 1), atol=1e-5)
+    start = np.cumsum([0, *model.sizes])
+    for a, b in zip(start, start[1:], strict=False):
+        some = a + np.concatenate([r.choice(np.flatnonzero(abs(slope[a:b]) > 0.3), 25), r.choice(np.flatnonzero(slope[a:b] == 0), 5)])
+        for k in some:
+            ends = []
+            for step in (0.05, -0.05):
+                model.weights[k] += step
+                ends.append(-maxent.log_probabilities(model, tokens).sum() * math.log(10))
+                model.weights[k] -= step
+            assert math.isclose((ends[0] - ends[1]) / 0.1, slope[k], rel_tol=0.02, abs_tol=0.01)
+
+
+def test_rows_are_added_by_place():
+    r = np.random.default_rng(8)
+    for at in (r.zipf(1.3, 20_000) % 3000, r.integers(5, 9, 300) << 20, np.full(70_000, 7), np.arange(500)[::-1], np.repeat(np.arange(80), np.arange(1, 81))):
+        rows = r.normal(size=(len(at), 9)).astype(np.float32)
+        place, sums = maxent._add_rows(at, rows)
+        different, where = np.unique(at, return_inverse=True)
+        wanted = np.zeros((len(different), 9))
+        np.add.at(wanted, where, rows)
+        order = np.argsort(place)
+        assert (place[order] == different).all() and np.allclose(sums[order], wanted, atol=1e-2 if len(at) > 50_000 else 1e-3)
+
+
 def test_training_helps_held_out_texts(spark, sf_dir):
     found = maxent.op10_maxent(spark, sf_dir).where("held_out").collect()
     assert sum(x.score for x in found) > sum(x.base_score for x in found)
